@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import exact_dedup, quality
+from seqloom.llm import bpe, exact_dedup, quality, rlz, simhash, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,25 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(_documents(spark, sf_dir))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.remove_repeated_bytes(_documents(spark, sf_dir))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(_documents(spark, sf_dir))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rlz.remove_repeated_words(_documents(spark, sf_dir))
+    return rows.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_documents(spark, sf_dir))
 
@@ -27,6 +46,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_simhash_near_dedup": op1_simhash_near_dedup,
+        "op2_suffix_array_dedup": op2_suffix_array_dedup,
+        "op4_bpe": op4_bpe,
+        "op6_substring_dedup": op6_substring_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op9_exact_dedup": op9_exact_dedup,
     }
@@ -36,6 +59,48 @@ def queries() -> dict[str, Query]:
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Windows of 100 bytes as hex; kept bytes are put together from the text's hex.
+OP2_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+win AS (
+  SELECT doc_id, i, md5(x[2 * i + 1 : 2 * i + 200]) AS w
+  FROM (SELECT doc_id, x, unnest(range(0, greatest(length(x) // 2 - 99, 0))) AS i FROM d)),
+hit AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS r FROM win) WHERE r > 1),
+edge AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM hit),
+run AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b
+  FROM (SELECT doc_id, i, count(*) FILTER (WHERE gap IS NULL OR gap > 100) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM edge)
+  GROUP BY doc_id, k),
+piece AS (
+  SELECT doc_id, coalesce(lag(b) OVER o, 0) AS a, a AS b FROM run WINDOW o AS (PARTITION BY doc_id ORDER BY a)
+  UNION ALL SELECT doc_id, max(b), (SELECT length(x) // 2 FROM d WHERE d.doc_id = run.doc_id) FROM run GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(x[2 * a + 1 : 2 * b], '' ORDER BY a) AS x
+  FROM piece JOIN d USING (doc_id) GROUP BY doc_id),
+count_ AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM run GROUP BY doc_id)
+SELECT doc_id, (length(d.x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept.x, d.x))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN count_ USING (doc_id)
+"""
+
+OP6_SQL = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(list_aggregate(list_slice(w, i, i + 12), 'string_agg', ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS m FROM win) WHERE doc_id > m),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM hit, range(13) AS r(k)),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t
+  FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+"""
+
 OP7_SQL = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
@@ -77,4 +142,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quality_rules": OP7_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op2_suffix_array_dedup": OP2_SQL, "op6_substring_dedup": OP6_SQL, "op7_quality_rules": OP7_SQL, "op9_exact_dedup": OP9_SQL}
