@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import bpe, exact_dedup, quality, rlz, simhash, suffix_dedup
+from seqloom.llm import bpe, exact_dedup, fuzzy_lines, lm_scoring, mixing, quality, rlz, simhash, suffix_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,10 +26,19 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_plan(_documents(spark, sf_dir), max_repetition=1.25)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_documents(spark, sf_dir))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts before and after private data is replaced."""
+    return token_counts.count_with_edits(_documents(spark, sf_dir), token_counts.pattern_edits(token_counts.PRIVATE, "<private>"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rlz.remove_repeated_words(_documents(spark, sf_dir))
     return rows.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -44,14 +53,27 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.fuzzy_line_groups(_documents(spark, sf_dir))
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return lm_scoring.score(docs, lm_scoring.train(docs))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
         "op2_suffix_array_dedup": op2_suffix_array_dedup,
+        "op3_mixing": op3_mixing,
         "op4_bpe": op4_bpe,
+        "op5_token_counts": op5_token_counts,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_quality_rules": op7_quality_rules,
+        "op8_fuzzy_lines": op8_fuzzy_lines,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_lm_scoring": op10_lm_scoring,
     }
 
 
@@ -59,6 +81,42 @@ def queries() -> dict[str, Query]:
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: The exponent is bisected 50 times; B is all tokens, so a source is repeated weight / share times.
+OP3_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS source, len({_WORDS})::BIGINT AS tokens FROM documents),
+src AS (SELECT source, sum(tokens)::BIGINT AS n FROM d GROUP BY source),
+tot AS (SELECT sum(n)::BIGINT AS total FROM src),
+p AS (SELECT list(n / total ORDER BY source) AS share FROM src, tot WHERE n > 0),
+b AS (
+  SELECT 0 AS it, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high, share FROM p
+  UNION ALL
+  SELECT it + 1, CASE WHEN met THEN low ELSE (low + high) / 2 END, CASE WHEN met THEN (low + high) / 2 ELSE high END, share
+  FROM (SELECT *, list_max(list_transform(share, lambda s: pow(s, (low + high) / 2) / norm / s)) <= 1.25 AS met
+        FROM (SELECT *, list_sum(list_transform(share, lambda s: pow(s, (low + high) / 2))) AS norm FROM b WHERE it < 50))),
+x AS (SELECT high, list_sum(list_transform(share, lambda s: pow(s, high))) AS norm FROM b WHERE it = 50),
+goal AS (
+  SELECT source, n, CASE WHEN n > 0 THEN floor(pow(n / total, high) / norm * total)::BIGINT ELSE 0 END AS g,
+    greatest(1, (n + 262143) // 262144) AS blocks
+  FROM src, tot, x),
+dealt AS (
+  SELECT d.*, CASE WHEN n > 0 THEN g // n ELSE 0 END AS passes, CASE WHEN n > 0 THEN g % n ELSE 0 END AS rest,
+    ('0x' || substr(md5('42:' || doc_id), 1, 15))::BIGINT AS key, blocks FROM d JOIN goal USING (source)),
+placed AS (SELECT *, key % blocks AS block FROM dealt),
+blk AS (
+  SELECT source, block, sum(tokens)::BIGINT AS size, any_value(rest) AS rest,
+    ('0x' || substr(md5('42:block:' || source || ':' || block), 1, 15))::BIGINT AS turn FROM placed GROUP BY source, block),
+r1 AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY turn, block ROWS UNBOUNDED PRECEDING) AS upto FROM blk),
+r2 AS (
+  SELECT *, sum(CASE WHEN upto > rest THEN 1 ELSE 0 END) OVER (PARTITION BY source ORDER BY turn, block ROWS UNBOUNDED PRECEDING) AS over_ FROM r1),
+inner_ AS (
+  SELECT placed.*, over_, rest - upto + size AS room,
+    sum(tokens) OVER (PARTITION BY source, block ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS run
+  FROM (SELECT source, block, over_, upto, size FROM r2) JOIN placed USING (source, block))
+SELECT doc_id, source, tokens, block, passes + CASE
+  WHEN tokens > 0 AND (over_ = 0 OR (over_ = 1 AND run <= room)) THEN 1 ELSE 0 END AS copies
+FROM inner_
+"""
+
 #: Windows of 100 bytes as hex; kept bytes are put together from the text's hex.
 OP2_SQL = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
@@ -142,4 +200,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_suffix_array_dedup": OP2_SQL, "op6_substring_dedup": OP6_SQL, "op7_quality_rules": OP7_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op3_mixing": OP3_SQL, "op2_suffix_array_dedup": OP2_SQL, "op6_substring_dedup": OP6_SQL, "op7_quality_rules": OP7_SQL, "op9_exact_dedup": OP9_SQL}
