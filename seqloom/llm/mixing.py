@@ -113,6 +113,6 @@ def mixing_plan(
 
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as often as ``mixing_plan`` says, with their columns as they were."""
-    plan = mixing_plan(docs, **options).where("copies > 0").select(F.col("doc_id").alias("_id"), "copies").dropDuplicates(["_id"])
+    plan = mixing_plan(docs, **options).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies")).dropDuplicates(["_id"])
     joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"]))
-    return joined.withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    return joined.withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
