@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seqloom.sources.scratch import materialize
+
 
 def dataset_entry(df: DataFrame, dataset_id: str, dataset_type: str, path: str, schema_version: str, run_id: str, parameters: str = "{}") -> DataFrame:
     """One row that describes ``df``: rows, bytes of its files (null for frames without files), and a checksum that doesn't depend on order."""
@@ -12,8 +14,8 @@ def dataset_entry(df: DataFrame, dataset_id: str, dataset_type: str, path: str,
     stats = df.agg(F.count("*").alias("row_count"), F.bit_xor(row).alias("_x"), F.sum(F.pmod(row, F.lit(1 << 31))).alias("_s"))
     out = stats.select("row_count", F.sha2(F.concat_ws(":", F.col("row_count"), F.coalesce("_x", F.lit(0)), F.coalesce("_s", F.lit(0))), 256).alias("checksum"))
     if df.inputFiles():
-        files = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s")).distinct()
-        out = out.crossJoin(F.broadcast(files.agg(F.sum("s").alias("size_bytes"))))  # one row each
+        files = df.sparkSession.read.format("binaryFile").load(df.inputFiles()).select("length")  # contents are not read
+        out = out.crossJoin(F.broadcast(files.agg(F.sum("length").alias("size_bytes"))))  # one row each
     else:
         out = out.withColumn("size_bytes", F.lit(None).cast("long"))
     given = {"dataset_id": dataset_id, "dataset_type": dataset_type, "path": path, "schema_version": schema_version, "created_by_run": run_id, "parameters": parameters}
@@ -37,11 +39,14 @@ def latest_runs(runs: DataFrame) -> DataFrame:
 
 
 def _walk(edges: DataFrame, start: str, a: str, b: str, max_depth: int) -> DataFrame:
-    now = edges.where(F.col(a) == start).select(F.col(b).alias("dataset_id"), F.col("relationship"), F.lit(1).alias("depth"))
+    """Breadth first: each frontier is written, so the next join reads a table, and the walk stops where nothing is left."""
+    now = materialize(edges.where(F.col(a) == start).select(F.col(b).alias("dataset_id"), F.col("relationship"), F.lit(1).alias("depth")), "frontier")
     out = now
+    step = edges.select(F.col(a).alias("dataset_id"), F.col(b).alias("next"), F.col("relationship").alias("how"))
     for depth in range(2, max_depth + 1):
-        step = edges.select(F.col(a).alias("dataset_id"), F.col(b).alias("next"), F.col("relationship").alias("how"))
-        now = now.select("dataset_id").join(step, "dataset_id").select(F.col("next").alias("dataset_id"), F.col("how").alias("relationship"), F.lit(depth).alias("depth"))
+        now = materialize(now.select("dataset_id").join(step, "dataset_id").select(F.col("next").alias("dataset_id"), F.col("how").alias("relationship"), F.lit(depth).alias("depth")), "frontier")
+        if not now.take(1):
+            break
         out = out.unionByName(now)
     return out
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seqloom.contracts import CHUNKS
 from seqloom.functions.scalar import assign_chunk, chunk_name, content_hash, package_id
+from seqloom.sources.scratch import materialize
 
 
 def chunk_sequences(sequences: DataFrame, num_chunks: int, prefix: str = "chunk_") -> DataFrame:
@@ -56,7 +57,8 @@ def chunk_sequential(sequences: DataFrame, chunk_size: int, order: list[str], pr
     before it are added.  No window runs over all rows.
     """
     ranged = sequences.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    # Written once: bounds of ranges are sampled anew each time they are worked out.
+    local = materialize(ranged.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(*order))), "ranged")
     counts = local.groupBy("_part").agg(F.count("*").alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     index = (F.col("_row") - 1 + F.col("_before")).cast("long")

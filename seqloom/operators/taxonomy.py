@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seqloom.contracts import RANKS
 from seqloom.functions.scalar import extract_accession
+from seqloom.sources.scratch import materialize
 
 
 def resolve_lineage(nodes: DataFrame, names: DataFrame, max_depth: int = 64) -> DataFrame:
@@ -21,9 +22,11 @@ def resolve_lineage(nodes: DataFrame, names: DataFrame, max_depth: int = 64) ->
     far = 1
     while far < max_depth:
         more = reach.join(jump.select(F.col("taxon_id").alias("ancestor"), "up"), "ancestor").select("taxon_id", F.col("up").alias("ancestor"), (F.col("steps") + far).alias("steps"))
-        reach = reach.unionByName(more)
-        jump = jump.join(jump.select(F.col("taxon_id").alias("up"), F.col("up").alias("next")), "up").select("taxon_id", F.col("next").alias("up"))
+        reach = materialize(reach.unionByName(more), "reach")  # else each round would double the plan
+        jump = materialize(jump.join(jump.select(F.col("taxon_id").alias("up"), F.col("up").alias("next")), "up").select("taxon_id", F.col("next").alias("up")), "jump")
         far *= 2
+        if not jump.take(1):
+            break  # no taxon lies so deep
     ranked = reach.join(nodes.select(F.col("taxon_id").alias("ancestor"), "rank"), "ancestor").join(names.select(F.col("taxon_id").alias("ancestor"), "name"), "ancestor")
     wanted = ranked.where(F.col("rank").isin(*RANKS, "superkingdom", "domain"))
     pick = lambda r: F.min_by(F.when(F.col("rank") == r, F.col("name")), F.when(F.col("rank") == r, F.col("steps")))

@@ -17,10 +17,10 @@ from seqloom.operators import merge as M
 from seqloom.operators import runlog as R
 from seqloom.operators import taxonomy as T
 from seqloom.plans import bindings as B
-from seqloom.plans.scratch import scratch_path
 from seqloom.plans.views import register_views
 from seqloom.sources import fasta as FA
 from seqloom.sources import tables as TB
+from seqloom.sources.scratch import scratch_path
 from seqloom.streaming import runs as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -298,13 +298,13 @@ _ENRICHED = f"SELECT h.*, l.taxon_id, species, phylum, kingdom FROM ({_merged_sq
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes, names, accessions = B.taxonomy(spark, sf_dir)
     merged = M.merge_hits(B.hits(spark, sf_dir, **_KEY), 50)
-    return enforce_contract(T.enrich_hits(merged, accessions, T.resolve_lineage(nodes, names, 8)), HITS_ENRICHED)
+    return enforce_contract(T.enrich_hits(merged, accessions, T.resolve_lineage(nodes, names)), HITS_ENRICHED)
 
 
 @query(_LINEAGE)
 def t1_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes, names, _ = B.taxonomy(spark, sf_dir)
-    return T.resolve_lineage(nodes, names, 8).select("taxon_id", "species", "phylum", "kingdom")
+    return T.resolve_lineage(nodes, names).select("taxon_id", "species", "phylum", "kingdom")
 
 
 @query(_ENRICHED)
@@ -430,7 +430,7 @@ _UP = f"""WITH RECURSIVE edge AS ({_EDGES}), up AS (
 
 @query(_UP)
 def l4_ancestry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.ancestry(B.lineage_edges(spark, sf_dir), "o5", 4)
+    return L.ancestry(B.lineage_edges(spark, sf_dir), "o5")
 
 
 @query(_UP)
@@ -443,7 +443,7 @@ def l4_ancestry_recursive_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT child_id AS dataset_id, relationship, 1 AS depth FROM edge WHERE parent_id = 'r0'
   UNION ALL SELECT e.child_id, e.relationship, down.depth + 1 FROM edge e JOIN down ON e.parent_id = down.dataset_id WHERE down.depth < 10) SELECT * FROM down""")
 def l5_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.descendants(B.lineage_edges(spark, sf_dir), "r0", 4)
+    return L.descendants(B.lineage_edges(spark, sf_dir), "r0")
 
 
 @query(f"SELECT query_id AS sequence_id, query_chunk_id AS chunk_id, count(*) AS n_hits, TRUE AS has_features FROM ({_merged_sql()}) GROUP BY ALL")
