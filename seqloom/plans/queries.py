@@ -280,10 +280,30 @@ def a3_seed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.seed_join(B.documents(spark, sf_dir), A.seeds(B.benchmark(spark, sf_dir), 12), 12, 8)
 
 
-@query()
+_SEEDED = f"SELECT q.id AS query_id, s.id AS subject_id, (q.pos - s.pos)::INT AS diagonal FROM ({_seeds_sql(_DOCS, 16)}) q JOIN ({_seeds_sql(_BENCH, 16)}) s USING (seed) GROUP BY ALL HAVING count(*) >= 8"
+#: Two letters score 5 if equal, 1 if in one group, else -2; letters that are no residue -2.
+_POINTS = "CASE WHEN NOT contains('ACDEFGHIKLMNPQRSTVWY', a) OR NOT contains('ACDEFGHIKLMNPQRSTVWY', b) THEN -2 WHEN a = b THEN 5 WHEN translate(a, 'AGPSTCDENQFWYHKRILMV', 'AAAAACDDDDFFFHHHIIII') = translate(b, 'AGPSTCDENQFWYHKRILMV', 'AAAAACDDDDFFFHHHIIII') THEN 1 ELSE -2 END"
+_ALIGN = f"""WITH c AS (SELECT c.*, q.sequence AS qs, s.sequence AS ss, greatest(0, -diagonal) AS b0 FROM ({_SEEDED}) c JOIN ({_DOCS}) q ON q.id = query_id JOIN ({_BENCH}) s ON s.id = subject_id),
+col AS (SELECT query_id, subject_id, diagonal, b0, length(qs) AS m, unnest(range(1, least(length(ss) - b0, length(qs) - b0 - diagonal) + 1)) AS i, qs, ss FROM c),
+pt AS (SELECT query_id, subject_id, diagonal, b0, m, i, a = b AS same, {_POINTS} AS p FROM (SELECT *, qs[b0 + diagonal + i] AS a, ss[b0 + i] AS b FROM col)),
+pre AS (SELECT *, sum(p) OVER w AS total FROM pt WINDOW w AS (PARTITION BY query_id, subject_id, diagonal ORDER BY i)),
+low AS (SELECT *, arg_min(i - 1, (total - p, -i)) OVER w AS begun, min(total - p) OVER w AS least FROM pre WINDOW w AS (PARTITION BY query_id, subject_id, diagonal ORDER BY i)),
+best AS (SELECT query_id, subject_id, diagonal, any_value(b0) AS b0, any_value(m) AS m, max(total - least) AS score, arg_min(i, (least - total, i)) AS hi, arg_min(begun, (least - total, i)) AS lo FROM low GROUP BY ALL HAVING max(total - least) > 0),
+same AS (SELECT query_id, subject_id, diagonal, count(*) FILTER (WHERE same) AS n FROM pt JOIN best b USING (query_id, subject_id, diagonal) WHERE i > lo AND i <= hi GROUP BY ALL),
+bits AS (SELECT *, (0.3176 * score - ln(0.134)) / ln(2.0) AS bitscore FROM best JOIN same USING (query_id, subject_id, diagonal)),
+hit AS (SELECT *, m * (SELECT sum(length(sequence)) FROM ({_BENCH})) * pow(2.0, -bitscore) AS evalue FROM bits)
+SELECT query_id, subject_id, (hi - lo)::INT AS alignment_length, (hi - lo - n)::INT AS mismatches, (b0 + diagonal + lo + 1)::INT AS query_start, (b0 + lo + 1)::INT AS subject_start, score::INT AS score,
+  round(100.0 * n / (hi - lo), 6) AS percent_identity, round(bitscore, 4) AS bitscore, round(log10(evalue + 1e-300), 4) AS log_evalue FROM hit WHERE evalue <= 10"""
+
+
+@query(_ALIGN)
 def a3_a7_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items, with seeds of 16 letters and eight of them on a diagonal."""
-    return A.align(B.documents(spark, sf_dir), B.benchmark(spark, sf_dir), A.Sensitivity(16, False, 8, 1000))
+    hits = A.align(B.documents(spark, sf_dir), B.benchmark(spark, sf_dir), A.Sensitivity(16, False, 8, 1000))
+    return hits.select(
+        "query_id", "subject_id", "alignment_length", "mismatches", "query_start", "subject_start", "score", F.round("percent_identity", 6).alias("percent_identity"),
+        F.round("bitscore", 4).alias("bitscore"), F.round(F.log10(F.col("evalue") + 1e-300), 4).alias("log_evalue"),
+    )
 
 
 # --- taxonomy and features ----------------------------------------------------------------------
@@ -605,3 +625,25 @@ def st3_stream_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "fasta")
     B.documents(spark, sf_dir).select(FA.fasta_text(F.col("description"), F.col("sequence"))).write.text(path)
     return _run_to_table(spark, ST.stream_fasta(spark, path, 7), "chunks", "append")
+
+
+@query(f"SELECT id, description, length(sequence)::INT AS length FROM ({_DOCS}) WHERE sequence <> '' ORDER BY id LIMIT 10")
+def s14_head_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten records of a FASTA folder whose files are in order of id."""
+    path = scratch_path(spark, "fasta")
+    docs = B.documents(spark, sf_dir).where("sequence <> ''").orderBy("id")
+    docs.select(FA.fasta_text(F.col("description"), F.col("sequence"))).write.text(path)
+    return FA.head_fasta(spark, path, 10).select("id", "description", "length")
+
+
+@query("SELECT 'wp_' || user_id AS package_id, date_trunc('millisecond', max(ts)) AS last_seen, 120::BIGINT AS timeout_s FROM events GROUP BY user_id HAVING epoch_ms(max(ts)) + 120001 <= (SELECT epoch_ms(max(ts)) - 10000 FROM events)")
+def st2_stream_stale_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as heartbeats, a user being a package: those not heard of for 120 seconds when the stream ends."""
+    key, provider = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(key)
+    spark.conf.set(key, provider)  # keyed state with timers needs it
+    try:
+        beats = _event_stream(spark, sf_dir).selectExpr("concat('wp_', user_id) AS package_id", "'RUNNING' AS state", "ts")
+        return _run_to_table(spark, ST.stream_stale_packages(beats, 120), "stale", "append")
+    finally:
+        spark.conf.set(key, before)
