@@ -175,3 +175,39 @@ def test_merged_tables(spark, tmp_path):
     TB.write_merged(merged, path)
     TB.write_merged(merged, path)
     assert TB.read_merged(spark, path, "mm").count() == 1 and spark.sql("SELECT count(*) FROM mm WHERE global_rank = 1").first()[0] == 1
+
+
+def test_merge_invariants(spark):
+    """Dedup is idempotent, ranks are dense, and the best N are among the best N + 1."""
+    import random
+
+    r = random.Random(12)
+    rows = [(f"q{r.randint(0, 4)}", f"s{r.randint(0, 9)}", 10.0 ** -r.randint(0, 6), float(r.randint(0, 5)), f"r{r.randint(0, 3)}") for _ in range(400)]
+    renamed = M.rename_raw(hits(spark, *rows))
+    once = M.dedup_best(renamed)
+    assert M.dedup_best(once).exceptAll(once).count() == 0 and once.count() == len({x[:2] for x in rows})
+    three, four = M.merge_hits(renamed, 3), M.merge_hits(renamed.repartition(7), 4)
+    assert three.exceptAll(four).count() == 0
+    ranks: dict[str, list[int]] = {}
+    for x in four.collect():
+        ranks.setdefault(x["query_id"], []).append(x["global_rank"])
+    assert all(sorted(v) == [1, 2, 3, 4] for v in ranks.values())
+    targets = M.limit_targets(renamed, 2).groupBy("query_id", "ref_chunk_id").agg(F.count("*").alias("n"))
+    assert targets.agg(F.max("n")).first()[0] <= 2
+
+
+def test_histogram_and_correlations(spark):
+    df = spark.createDataFrame([(float(i), 2.0 * i, -float(i)) for i in range(10)] + [(None, 1.0, 1.0)], "a double, b double, c double")
+    assert {tuple(x) for x in X.feature_histogram(df, "a", 5, 0.0, 10.0).collect()} == {(k, 2) for k in range(1, 6)}
+    got = {(x["a"], x["b"]): round(x["correlation"], 6) for x in X.feature_correlations(df.where("a IS NOT NULL"), ["a", "b", "c"]).collect()}
+    assert got == {("a", "b"): 1.0, ("a", "c"): -1.0, ("b", "c"): -1.0}
+    out = X.cluster_features(df, ["a", "b", "c"], 2)
+    assert out.count() == 11 and out.select("cluster").distinct().count() == 2 and {"pc1", "pc2"} <= set(out.columns)
+
+
+def test_taxdump(spark, tmp_path):
+    for name, text in (("nodes", "1\t|\t1\t|\tno rank\t|\n2\t|\t1\t|\tphylum\t|\n"), ("names", "1\t|\troot\t|\t\t|\tscientific name\t|\n2\t|\tP\t|\t\t|\tscientific name\t|\n2\t|\tq\t|\t\t|\tsynonym\t|\n"), ("acc", "accession\taccession.version\ttaxid\tgi\nA1\tA1.1\t2\t0\n")):
+        (tmp_path / name).write_text(text)
+    nodes, names, acc = TB.scan_taxdump(spark, *[str(tmp_path / n) for n in ("nodes", "names", "acc")])
+    assert {tuple(r) for r in nodes.collect()} == {(1, 1, "no rank"), (2, 1, "phylum")} and {tuple(r) for r in names.collect()} == {(1, "root"), (2, "P")}
+    assert [tuple(r) for r in acc.collect()] == [("A1", 2)]
