@@ -12,7 +12,8 @@ if their fragments share the minimizer, so:
 4. the places of a class that come after its first are repeats as a whole.
 
 Nothing is sampled and no bucket is capped: the windows of a minimizer with very many different
-fragments are dealt anew, one by one, by a hash of the window.  All joins are on hash keys or on
+fragments (say, where a common passage begins in ever other text) are dealt anew by their second
+smallest gram.  All joins are on hash keys or on
 doc_id and pre-aggregated where a key can be hot.
 """
 
@@ -34,7 +35,7 @@ _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E
 #: Stands for a null doc_id, which comes after all others.
 NO_ID = (1 << 63) - 1
 #: Windows of a run, different fragments of a bucket before it is dealt anew, and units indexed together.
-RUN, WIDE, CHUNK = 1024, 20_000, 1 << 20
+RUN, WIDE, CHUNK = 1024, 1_000, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -49,9 +50,11 @@ class Units:
         """(data, starts, ends): unit i is data[starts[i]:ends[i]]; for bytes both arrays are empty."""
         if self.kind == "bytes":
             return text or b"", np.empty(0, np.int64), np.empty(0, np.int64)
-        words = (text or b"").split()
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        return b" ".join(words), np.concatenate(([0], ends[:-1] + 1)) if len(words) else ends, ends
+        data = b" ".join((text or b"").split())
+        if not data:
+            return data, np.empty(0, np.int64), np.empty(0, np.int64)
+        gaps = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
+        return data, np.concatenate(([0], gaps + 1)), np.append(gaps, len(data))
 
     def gram_hashes(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """A 64-bit hash for each gram."""
@@ -68,8 +71,7 @@ class Units:
         n = len(ends) - self.gram + 1
         if n < 1:
             return np.empty(0, np.uint64)
-        digest = xxhash.xxh64_intdigest
-        words = np.fromiter(map(digest, data.split(b" ")), np.uint64, len(ends))
+        words = word_hashes(data, starts, ends)
         x = np.zeros(n, np.uint64)
         for k in range(self.gram):
             x = (x ^ words[k : k + n]) * _K[k % 4]
@@ -85,6 +87,24 @@ class Units:
         return (data[i:j] for i, j in zip(a.tolist(), b.tolist()))
 
 
+_LETTER = np.random.default_rng(7).integers(0, 1 << 64, 256, np.uint64)
+_POWER = np.cumprod(np.full(1 << 12, 0xD1342543DE82EF95, np.uint64))
+
+
+def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash for each word data[starts[i]:ends[i]] of words joined by one space."""
+    size = ends - starts
+    if size.max(initial=0) >= len(_POWER):  # very long words one by one
+        return np.fromiter((xxhash.xxh64_intdigest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())), np.uint64, len(ends))
+    letters = _LETTER[np.frombuffer(data, np.uint8)]
+    letters *= _POWER[np.arange(len(data)) - np.repeat(starts, np.append(np.diff(starts), len(data) - starts[-1]))]
+    if len(starts) > 1:
+        letters[ends[:-1]] = 0  # the spaces
+    x = np.add.reduceat(letters, starts) + size.astype(np.uint64)
+    x = (x ^ x >> np.uint64(32)) * _K[0]
+    return x ^ x >> np.uint64(29)
+
+
 def _slide(x: np.ndarray, width: int, op) -> np.ndarray:
     """op over every ``width`` neighbours, by doubling."""
     size = 1
@@ -124,7 +144,7 @@ def _ids(docs: DataFrame) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, units: Units) -> DataFrame:
-    """(h, g, id, start, count) of every run whose minimizer h occurs again anywhere."""
+    """(h, g, id, start, count, twice) of every run whose minimizer h occurs again anywhere."""
     width = units.length - units.gram + 1
 
     def minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,13 +158,15 @@ def repeated_runs(docs: DataFrame, units: Units) -> DataFrame:
         for batch in batches:
             for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
                 read = units.read(text.as_py())
-                h, start, count, _ = runs(units.gram_hashes(*read), width)
+                h, start, count, twice = runs(units.gram_hashes(*read), width)
                 g = np.fromiter(map(digest, units.cut(*read, start, count)), np.uint64, len(h))
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(np.full(len(h), id_, np.int64)), pa.array(start), pa.array(count.astype(np.int32))], ["h", "g", "id", "start", "count"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(np.full(len(h), id_, np.int64)), pa.array(start), pa.array(count.astype(np.int32)), pa.array(twice)], ["h", "g", "id", "start", "count", "twice"])
 
     ids = _ids(docs)
     counted = ids.select("text").mapInArrow(minimizers, "h long").groupBy("h").agg(F.count("*").alias("n"))
-    found = ids.mapInArrow(places, "h long, g long, id long, start long, count int").join(counted.where("n > 1").select("h"), "h")
+    # Written ahead of the join, as the aggregation would tie a hot minimizer's rows to one task.
+    again = materialize(counted.where("n > 1").select("h"), "minimizers")
+    found = ids.mapInArrow(places, "h long, g long, id long, start long, count int, twice boolean").join(again, "h")
     return materialize(found, "runs")
 
 
@@ -156,11 +178,15 @@ def repeats(docs: DataFrame, units: Units, index: Callable[[list[bytes], np.ndar
     window of every fragment: whether it starts at an earlier place among these fragments.
     """
     found = repeated_runs(docs, units)
-    first = found.groupBy("h", "g").agg(F.min(F.struct("id", "start", "count")).alias("first"))
-    first = materialize(first.select("h", "g", "first.*"), "classes")
-    kinds = first.groupBy("h").agg(F.count("*").alias("k"))
-    wide = first.join(kinds, "h").withColumn("parts", F.ceil(F.col("k") / WIDE).cast("int"))
-    wanted = wide.groupBy("id").agg(F.collect_list(F.struct("start", "count", "h", "g", "parts")).alias("want"))
+    first = found.groupBy("h", "g").agg(F.min(F.struct("id", "start", "count")).alias("first"), F.max("twice").alias("twice"))
+    first = materialize(first.select("h", "g", "first.*", "twice"), "classes")
+    # A bucket of one fragment that cannot repeat itself needs no index.  Written ahead of the join,
+    # whose sides are then plain exchanges, so that Spark can split a hot minimizer's rows.
+    kinds = first.groupBy("h").agg(F.count("*").alias("k"), F.max("twice").alias("again")).where("k > 1 OR again" if within else "k > 1")
+    kinds = materialize(kinds.select("h", (F.col("k") > WIDE).alias("wide")), "buckets")
+    wide = first.join(kinds, "h")
+    wanted = wide.groupBy("id").agg(F.collect_list(F.struct("start", "count", "h", "g", "wide")).alias("want"))
+    width = units.length - units.gram + 1
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
@@ -169,25 +195,28 @@ def repeats(docs: DataFrame, units: Units, index: Callable[[list[bytes], np.ndar
             for id_, text, want in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2)):
                 read = units.read(text.as_py())
                 w = want.values.flatten()
-                start, count, h, g, parts = (c.to_numpy(zero_copy_only=False) for c in w)
+                start, count, h, g, wide = (c.to_numpy(zero_copy_only=False) for c in w)
                 size = len(read[0]) if units.kind == "bytes" else len(read[2])
                 inside = start + count + (units.length - 1) <= size
                 out: list[tuple] = []
                 for k, piece in zip(np.flatnonzero(inside).tolist(), units.cut(*read, start[inside], count[inside].astype(np.int64))):
                     if digest(piece) != int(g[k]) & 0xFFFFFFFFFFFFFFFF:
                         continue  # another row with this doc_id
-                    if parts[k] == 1:
+                    if not wide[k]:
                         out.append((h[k], 0, g[k], id_, start[k], 0, count[k], piece))
-                    else:  # a window at a time
-                        at = start[k] + np.arange(count[k])
-                        for off, window in enumerate(units.cut(*read, at, np.ones(len(at), np.int64))):
-                            out.append((h[k], digest(window) % int(parts[k]), g[k], id_, start[k] + off, off, 1, window))
+                        continue
+                    own = units.read(piece)
+                    x = units.gram_hashes(*own)
+                    x[x == np.int64(h[k]).view(np.uint64)] = ~np.uint64(0)
+                    second, at, long, _ = runs(x, width)
+                    for sub, off, n, part in zip(second.view(np.int64).tolist(), at.tolist(), long.tolist(), units.cut(*own, at, long)):
+                        out.append((h[k], sub, g[k], id_, start[k] + off, off, n, part))
                 columns = list(zip(*out)) if out else [[] for _ in names]
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     pieces = _ids(docs).join(wanted, "id").select("id", "text", "want").mapInArrow(
-        fetch, "h long, sub int, g long, id long, start long, off int, count int, piece binary"
+        fetch, "h long, sub long, g long, id long, start long, off int, count int, piece binary"
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 
-from seqloom.llm.fragments import Units, remove, repeats
+from seqloom.llm.fragments import Units, remove, repeats, word_hashes
 
 #: Words of a factor at most.
 LONGEST = 32
@@ -89,8 +88,9 @@ def factored_windows(length: int, longest: int = LONGEST):
     longest = max(longest, length)
 
     def index(fragments: list[bytes], ids: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        tokens = b" ".join(fragments).split(b" ")
-        hashed = np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, len(tokens))
+        data = b" ".join(fragments)
+        gaps = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
+        hashed = word_hashes(data, np.concatenate(([0], gaps + 1)), np.append(gaps, len(data)))
         words = np.unique(hashed, return_inverse=True)[1].astype(np.int64)
         size = counts + (length - 1)
         begin = np.cumsum(size) - size

@@ -151,7 +151,7 @@ def brute_words(texts, length):
     return out
 
 
-@pytest.mark.parametrize(("length", "wide"), [(100, 8000), (24, 2)])
+@pytest.mark.parametrize(("length", "wide"), [(100, 1000), (24, 2)])
 def test_suffix_dedup(spark, monkeypatch, length, wide):
     monkeypatch.setattr(fragments, "WIDE", wide)
     texts = corpus(3)
@@ -160,7 +160,7 @@ def test_suffix_dedup(spark, monkeypatch, length, wide):
     assert sum(g[1] for g in got.values()) > 500
 
 
-@pytest.mark.parametrize(("length", "wide"), [(13, 8000), (5, 2)])
+@pytest.mark.parametrize(("length", "wide"), [(13, 1000), (5, 2)])
 def test_substring_dedup(spark, monkeypatch, length, wide):
     monkeypatch.setattr(fragments, "WIDE", wide)
     texts = corpus(5)
