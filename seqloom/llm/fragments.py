@@ -34,8 +34,9 @@ from seqloom.llm.common import materialize
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 #: Stands for a null doc_id, which comes after all others.
 NO_ID = (1 << 63) - 1
-#: Windows of a run, different fragments of a bucket before it is dealt anew, and units indexed together.
-RUN, WIDE, CHUNK = 1024, 1_000, 1 << 20
+#: Windows of a run, different fragments of a bucket before it is dealt anew, bytes indexed together,
+#: and bytes of documents that are cut together.
+RUN, WIDE, CHUNK, BATCH = 1024, 1_000, 1 << 20, 1 << 15
 
 
 @dataclass(frozen=True)
@@ -63,11 +64,14 @@ class Units:
             if n < 1:
                 return np.empty(0, np.uint64)
             eights = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
-            x = np.zeros(n, np.uint64)
-            for k, at in enumerate([*range(0, self.gram - 7, 8)] + ([self.gram - 8] if self.gram % 8 else [])):
-                x = (x ^ eights[at : at + n]) * _K[k % 4]
-                x ^= x >> np.uint64(31)
-            return x * _K[1] ^ x >> np.uint64(29)
+            places = [*range(0, self.gram - 7, 8)] + ([self.gram - 8] if self.gram % 8 else [])
+            x = eights[:n] * _K[0]
+            for k, at in enumerate(places[1:], 1):
+                x += eights[at : at + n] * (_K[k % 4] ^ np.uint64(2 * k))
+            x ^= x >> np.uint64(32)
+            x *= _K[1]
+            x ^= x >> np.uint64(29)
+            return x
         n = len(ends) - self.gram + 1
         if n < 1:
             return np.empty(0, np.uint64)
@@ -117,8 +121,7 @@ def _slide(x: np.ndarray, width: int, op) -> np.ndarray:
 def runs(x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(minimizer, first window, windows, twice) of each run, from gram hashes; ``width`` grams are in a window.
 
-    ``twice``: the minimizer stands at several places within one run's reach, so that windows of
-    the run itself may be equal.
+    ``twice``: the minimizer stands at several places, so that windows of the run itself may be equal.
     """
     if len(x) < width:
         none = np.empty(0, np.int64)
@@ -131,36 +134,107 @@ def runs(x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         step = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         start = np.repeat(start, parts) + step * RUN
         count = np.minimum(np.repeat(count, parts) - step * RUN, RUN)
-    edge = np.zeros(width - 1, np.uint64)
-    place = np.flatnonzero(_slide(np.concatenate((edge, low, edge)), width, np.maximum) == x)
-    again = (x[place[1:]] == x[place[:-1]]) & (np.diff(place) <= width)
     found = low[start]
-    twice = np.isin(found, x[place[1:]][again]) if again.any() else np.zeros(len(start), bool)
+    # Minimizers are small hashes, so few places need a look.
+    small = np.sort(x[x <= found.max()])
+    equal = small[1:][small[1:] == small[:-1]]
+    twice = np.isin(found, equal) if len(equal) else np.zeros(len(start), bool)
     return found, start, count, twice
 
 
+@dataclass
+class Batch:
+    """Runs of several documents at once: their documents, minimizers, first windows and numbers of windows.
+
+    Documents are put together, so that the arrays are long enough to be worth a call; windows
+    across two documents are left out.
+    """
+
+    doc: np.ndarray
+    h: np.ndarray
+    start: np.ndarray
+    count: np.ndarray
+    twice: np.ndarray
+    pieces: Callable[[], Iterator[bytes]]
+
+
+def batch_runs(texts: list[bytes | None], units: Units) -> Batch:
+    """The runs of all ``texts``, as ``runs`` finds them in each."""
+    if units.kind == "bytes":
+        parts = [t or b"" for t in texts]
+        data, starts, ends = b"".join(parts), np.empty(0, np.int64), np.empty(0, np.int64)
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+    else:
+        parts = [b" ".join((t or b"").split()) for t in texts]
+        size = np.fromiter((p.count(b" ") + 1 if p else 0 for p in parts), np.int64, len(parts))
+        data, starts, ends = units.read(b" ".join(parts))
+    begin = np.cumsum(size) - size
+    width = units.length - units.gram + 1
+    windows = np.maximum(size - (units.length - 1), 0)
+    total = int(windows.sum())
+    if not total:
+        none = np.empty(0, np.int64)
+        return Batch(none, np.empty(0, np.uint64), none, none, np.empty(0, bool), lambda: iter(()))
+    x = units.gram_hashes(data, starts, ends)
+    doc = np.repeat(np.arange(len(parts)), windows)
+    at = np.arange(total) - np.repeat(np.cumsum(windows) - windows, windows)
+    low = _slide(x, width, np.minimum)[at + begin[doc]]
+    first = np.concatenate(([0], np.flatnonzero((low[1:] != low[:-1]) | (doc[1:] != doc[:-1])) + 1))
+    count = np.diff(np.append(first, total))
+    start, owner, found = at[first], doc[first], low[first]
+    if count.max() > RUN:
+        parts_of = -(-count // RUN)
+        step = np.arange(parts_of.sum()) - np.repeat(np.cumsum(parts_of) - parts_of, parts_of)
+        start = np.repeat(start, parts_of) + step * RUN
+        owner, found = np.repeat(owner, parts_of), np.repeat(found, parts_of)
+        count = np.minimum(np.repeat(count, parts_of) - step * RUN, RUN)
+    # Minimizers are small hashes, so few places need a look for those that stand twice in a document.
+    place = np.flatnonzero(x <= found.max())
+    where = np.searchsorted(begin + size, place, "right")
+    order = np.lexsort((where, x[place]))
+    value, where = x[place][order], where[order]
+    equal = value[1:][(value[1:] == value[:-1]) & (where[1:] == where[:-1])]
+    twice = np.isin(found, equal) if len(equal) else np.zeros(len(start), bool)
+    return Batch(owner, found, start, count, twice, lambda: units.cut(data, starts, ends, start + begin[owner], count))
+
+
+def _batches(texts: pa.Array) -> Iterator[tuple[int, list[bytes | None]]]:
+    """(first row, texts) of parts of a column with about BATCH bytes."""
+    held: list[bytes | None] = []
+    size, first = 0, 0
+    for row, text in enumerate(texts.cast(pa.binary())):
+        value = text.as_py()
+        held.append(value)
+        size += len(value or b"")
+        if size >= BATCH:
+            yield first, held
+            held, size, first = [], 0, row + 1
+    if held:
+        yield first, held
+
+
 def _ids(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("string").alias("text"))
 
 
 def repeated_runs(docs: DataFrame, units: Units) -> DataFrame:
     """(h, g, id, start, count, twice) of every run whose minimizer h occurs again anywhere."""
-    width = units.length - units.gram + 1
 
     def minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()):
-                h, _, _, twice = runs(units.gram_hashes(*units.read(text.as_py())), width)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((h, h[twice])).view(np.int64))], ["h"])
+            for _, texts in _batches(batch.column(0)):
+                found = batch_runs(texts, units)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((found.h, found.h[found.twice])).view(np.int64))], ["h"])
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for batch in batches:
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-                read = units.read(text.as_py())
-                h, start, count, twice = runs(units.gram_hashes(*read), width)
-                g = np.fromiter(map(digest, units.cut(*read, start, count)), np.uint64, len(h))
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(np.full(len(h), id_, np.int64)), pa.array(start), pa.array(count.astype(np.int32)), pa.array(twice)], ["h", "g", "id", "start", "count", "twice"])
+            ids = batch.column(0).to_numpy()
+            for row, texts in _batches(batch.column(1)):
+                found = batch_runs(texts, units)
+                g = np.fromiter(map(digest, found.pieces()), np.uint64, len(found.h))
+                columns = [found.h.view(np.int64), g.view(np.int64), ids[row + found.doc], found.start, found.count.astype(np.int32), found.twice]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "g", "id", "start", "count", "twice"])
 
     ids = _ids(docs)
     counted = ids.select("text").mapInArrow(minimizers, "h long").groupBy("h").agg(F.count("*").alias("n"))

@@ -102,6 +102,6 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100) -> DataFrame:
     texts shorter than ``length`` stay whole; a null doc_id comes after all others; rows that repeat
     a doc_id are taken as one document.  An empty table gives an empty table.
     """
-    units = Units("bytes", length, max(8, length // 3))
+    units = Units("bytes", length, max(8, length // 24 * 8))
     found = repeats(docs, units, earlier_windows(length), within=True)
     return remove(docs, units, found).withColumnRenamed("n_units", "n_bytes")
