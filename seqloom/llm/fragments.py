@@ -96,17 +96,20 @@ _POWER = np.cumprod(np.full(1 << 12, 0xD1342543DE82EF95, np.uint64))
 
 
 def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash for each word data[starts[i]:ends[i]] of words joined by one space."""
+    """A 64-bit hash for each word data[starts[i]:ends[i]] of words joined by one space; it depends on the word alone."""
     size = ends - starts
-    if size.max(initial=0) >= len(_POWER):  # very long words one by one
-        return np.fromiter((xxhash.xxh64_intdigest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())), np.uint64, len(ends))
+    long = np.flatnonzero(size >= len(_POWER))
     letters = _LETTER[np.frombuffer(data, np.uint8)]
-    letters *= _POWER[np.arange(len(data)) - np.repeat(starts, np.append(np.diff(starts), len(data) - starts[-1]))]
+    at = np.arange(len(data)) - np.repeat(starts, np.append(np.diff(starts), len(data) - starts[-1]))
+    letters *= _POWER[np.minimum(at, len(_POWER) - 1) if len(long) else at]
     if len(starts) > 1:
         letters[ends[:-1]] = 0  # the spaces
     x = np.add.reduceat(letters, starts) + size.astype(np.uint64)
     x = (x ^ x >> np.uint64(32)) * _K[0]
-    return x ^ x >> np.uint64(29)
+    x ^= x >> np.uint64(29)
+    for i in long.tolist():  # very long words one by one
+        x[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]])
+    return x
 
 
 def _slide(x: np.ndarray, width: int, op) -> np.ndarray:

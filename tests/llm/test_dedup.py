@@ -168,6 +168,29 @@ def test_substring_dedup(spark, monkeypatch, length, wide):
     assert [got[i] for i in range(len(texts))] == brute_words(texts, length)
 
 
+@pytest.mark.parametrize(("length", "wide"), [(13, 1000), (5, 2)])
+def test_substring_dedup_beside_long_words(spark, monkeypatch, length, wide):
+    """A very long word changes no other word's hash, so passages are found across documents with and without one."""
+    monkeypatch.setattr(fragments, "WIDE", wide)
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    passage = [word() for _ in range(40)]
+    texts = [" ".join([word() for _ in range(20)] + passage + [word() for _ in range(20)]) for _ in range(12)]
+    texts[5] += " " + "x" * 4096
+    texts[6] = "y" * 5000 + " " + texts[6]
+    texts[7] = " ".join(passage[:20] + ["z" * 4095, "z" * 5000] + passage[20:])
+    texts[8] = texts[7] + " tail"
+    got = {x["doc_id"]: (x["n_words"], x["n_removed"], x["kept_sha256"]) for x in rlz.remove_repeated_words(frame(spark, texts), length).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_words(texts, length)
+
+
+def test_word_hash_depends_on_the_word_alone():
+    read = fragments.Units("words", 2, 1).read
+    alone = fragments.word_hashes(*read(b"one two three"))
+    beside = fragments.word_hashes(*read(b"one two three " + b"x" * 5000 + b" one"))
+    assert beside[:3].tolist() == alone.tolist() and beside[4] == alone[0] and len(set(beside.tolist())) == 4
+
+
 def test_bucket_indexes():
     r = random.Random(3)
     for _ in range(100):
