@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqloom.llm import bpe, exact_dedup, mixing, quality, simhash
+from seqloom.llm import bpe, exact_dedup, mixing, quality, similar
 from seqloom.llm.common import scratch_path
 
 
@@ -19,8 +19,8 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate group the document with the smallest doc_id stays."""
-    return simhash.drop_near_duplicates(docs)
+    """Of each group linked by SimHash or by five-word shingles of similarity 0.8 the document with the smallest doc_id stays."""
+    return similar.drop_similar(docs)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from seqloom.llm import exact_dedup, fragments, rlz, simhash, suffix_dedup
+from seqloom.llm import exact_dedup, fragments, rlz, similar, simhash, suffix_dedup
 from seqloom.llm.common import ascii_lower, connected_components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -218,3 +218,29 @@ def test_edges(spark, run):
     long = "word " * 300
     rows = [(None, long, None, None, None), (7, long, "en", "s", 1), (7, long, "en", "s", 1), (8, None, None, None, None), (9, "", None, None, 0), (None, None, None, None, None)]
     assert run(spark.createDataFrame(rows, SCHEMA).withColumns(extra)).count() == len(rows)
+
+
+def test_pipeline_drops_near_copies(spark):
+    """Pairs at 0.8 and more go, unlike ones stay, also in a chain and with repeated and null ids."""
+    import corpus_pipeline
+
+    r = random.Random(14)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    texts = []
+    for k in range(30):
+        base = [word() for _ in range(150)]
+        texts.append(" ".join(base))
+        for step in range(k % 4):
+            for at in r.sample(range(150), r.choice([1, 2, 3, 4])):
+                base[at] = word()
+            texts.append(" ".join(base))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(146)} for t in texts]
+    fps = [simhash.fingerprint(t.encode(), 5) for t in texts]
+    alike = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) or (fps[i] ^ fps[j]).bit_count() <= 4
+    want = set(brute_components(len(texts), [(i, j) for i in range(len(texts)) for j in range(i) if alike(i, j)]))
+    more = [(None, texts[0], None, None, 0), (0, " ".join(word() for _ in range(150)), None, None, 0)]
+    docs = frame(spark, texts).unionByName(spark.createDataFrame(more, SCHEMA))
+    got = sorted((x["doc_id"] is None, x["doc_id"] or 0, x["text"]) for x in corpus_pipeline.simhash_stage(spark, docs, "").collect())
+    assert got == sorted([(False, i, texts[i]) for i in want] + [(x[0] is None, x[0] or 0, x[1]) for x in more])
+    assert 30 <= len(want) < len(texts) - 20
+    assert corpus_pipeline.simhash_stage(spark, frame(spark, []), "").count() == 0
