@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import random
 import re
 
@@ -120,59 +121,113 @@ def test_quality(spark):
     assert quality.quality_rules(frame(spark, [])).count() == 0
 
 
-def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row, last = [i], row
-        for j, y in enumerate(b, 1):
-            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
-    return row[-1]
+def alike_pairs(lines, similarity=0.8):
+    """All pairs of different lines at this edit similarity, by DuckDB's edit distance; counts of characters bound it from below."""
+    import duckdb
+    import pyarrow as pa
 
+    size = np.array([len(x) for x in lines])
+    letters = np.zeros((len(lines), 64), np.int32)
+    for i, x in enumerate(lines):
+        np.add.at(letters[i], np.fromiter((ord(c) % 64 for c in x), np.int64, len(x)), 1)
+    order = np.argsort(size, kind="stable")
+    left, right = [], []
+    for n, i in enumerate(order):
+        rest = order[n + 1 : np.searchsorted(size[order], size[i] / similarity + 1, "right")]
+        low = (np.abs(letters[rest] - letters[i]).sum(1) + size[rest] - size[i]) // 2
+        fine = rest[low <= (1 - similarity) * size[rest] + 1e-9]
+        left += [int(i)] * len(fine)
+        right += fine.tolist()
+    pairs = pa.table({"i": left, "j": right, "a": [lines[i] for i in left], "b": [lines[j] for j in right]})  # noqa: F841
+    return duckdb.sql(f"SELECT i, j FROM pairs WHERE levenshtein(a, b) <= {1 - similarity} * greatest(length(a), length(b)) + 1e-9").fetchall()
 
-def brute_simhash(hashes):
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
+def normal(x):
+    return x.strip(" \t\n\x0b\f\r").lower()
+
+
+def places(texts):
+    return {(i, k): normal(x) for i, t in enumerate(texts) for k, x in enumerate((t or "").split("\n")) if normal(x)}
 
-def test_fuzzy_lines(spark):
-    import xxhash
 
+def test_fuzzy_lines(spark):
+    """Against all pairs: links only between alike lines, nine in ten alike pairs linked, first occurrences kept."""
     r = random.Random(8)
-    vocabulary = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(200)]
-    base = [[r.choice(vocabulary) for _ in range(40)] for _ in range(6)]
-    lines = [" ".join(b) for b in base]
-    for b in base[:3]:
-        for _ in range(25):
-            v = list(b)
-            v[r.randrange(40)] = r.choice(vocabulary)
-            lines.append(" ".join(v))
-    lines += ["  " + lines[0].upper() + "\t", "", "short", "Short", "the", " ".join(r.choice(vocabulary) for _ in range(400))]
+    vocabulary = ["".join(r.choice("abcdefghklmnoprstuw") for _ in range(r.randint(2, 9))) for _ in range(300)]
+    line = lambda n: [r.choice(vocabulary) for _ in range(n)]
+    lines = []
+    for size in (6, 12, 25, 40, 80):
+        for _ in range(12):
+            b = line(size)
+            lines.append(" ".join(b))
+            for _ in range(r.choice([0, 1, 4])):
+                v = list(b)
+                for _ in range(r.randint(1, max(1, size // 12))):
+                    at = r.randrange(len(v))
+                    v[at : at + 1] = r.choice([[], [r.choice(vocabulary)], [v[at], r.choice(vocabulary)], [v[at] + "x"]])
+                lines.append(" ".join(v))
+    lines += ["  " + lines[0].upper() + "\t", "", "short", "Short", "the", " ".join(line(900))]
+    lines.append(lines[-1].replace(" ", "  ", 3) + " tail")  # over LONG characters
+    r.shuffle(lines)
     texts = ["\n".join(lines[i : i + 4]) for i in range(0, len(lines), 4)] + [None, "\n\n", lines[1]]
-    got = {(x["doc_id"], x["line_no"]): x for x in fuzzy_lines.fuzzy_line_groups(frame(spark, texts)).collect()}
-    norm = {(i, k): x.strip(" \t\n\x0b\f\r").lower() for i, t in enumerate(texts) for k, x in enumerate((t or "").split("\n")) if x.strip(" \t\n\x0b\f\r")}
-    assert set(got) == set(norm)
-    fp = {x: brute_simhash([xxhash.xxh64_intdigest(w.encode(), 42) for w in set(x.split())]) for x in set(norm.values())}
-    table = {(x["doc_id"], x["line_no"]): x["fp"] % (1 << 64) for x in fuzzy_lines.line_table(frame(spark, texts)).collect()}
-    assert table == {p: fp[x] for p, x in norm.items()}
-    blocks = {x: [f >> (16 * b) & 0xFFFF for b in range(4)] for x, f in fp.items()}
-    group = {x: x for x in fp}
+    rows = fuzzy_lines.fuzzy_line_groups(frame(spark, texts)).collect()
+    got = {(x["doc_id"], x["line_no"]): x for x in rows}
+    norm = places(texts)
+    assert set(got) == set(norm) and len(rows) == len(norm)
+    group = {x: got[p]["group_id"] for p, x in norm.items()}
+    distinct = sorted(group)
+    alike = alike_pairs(distinct)
+    hits = sum(group[distinct[i]] == group[distinct[j]] for i, j in alike)
+    assert len(alike) > 100 and hits >= 0.9 * len(alike)
+    parent = {x: x for x in distinct}
 
     def find(x):
-        while group[x] != x:
-            x = group[x]
+        while parent[x] != x:
+            x = parent[x]
         return x
 
-    for x in fp:
-        for y in fp:
-            if x < y and sum(a == b for a, b in zip(blocks[x], blocks[y])) >= 2 and distance(x, y) <= 0.2 * max(len(x), len(y)) + 1e-9:
-                group[find(y)] = find(x)
+    for i, j in alike:
+        parent[find(distinct[i])] = find(distinct[j])
+    assert all(find(x) == find(y) for x in distinct for y in distinct if group[x] == group[y])  # nothing unlike is linked
     first: dict = {}
     for place, x in sorted(norm.items()):
-        first.setdefault(find(x), place)
-    assert all((got[p]["keep_doc_id"], got[p]["keep_line_no"]) == first[find(x)] and got[p]["kept"] == (first[find(x)] == p) for p, x in norm.items())
-    assert len(first) < len(fp)
+        first.setdefault(group[x], place)
+    assert all((got[p]["keep_doc_id"], got[p]["keep_line_no"]) == first[group[x]] and got[p]["kept"] == (first[group[x]] == p) for p, x in norm.items())
     assert fuzzy_lines.fuzzy_line_groups(frame(spark, [])).count() == 0
 
 
+def test_fuzzy_lines_recall(spark):
+    """Nine in ten of all alike pairs of a given table are in one group."""
+    path = "/root/testdata/sf0.001/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no given tables")
+    texts = [x["text"] for x in spark.read.parquet(path).orderBy("doc_id").select("text").collect()]
+    got = {(x["doc_id"], x["line_no"]): x["group_id"] for x in fuzzy_lines.fuzzy_line_groups(frame(spark, texts)).collect()}
+    group = {x: got[p] for p, x in places(texts).items()}
+    distinct = sorted(group)
+    alike = alike_pairs(distinct)
+    assert len(alike) > 20 and sum(group[distinct[i]] == group[distinct[j]] for i, j in alike) >= 0.9 * len(alike)
+
+
+def test_fuzzy_lines_edges(spark, monkeypatch):
+    """Null and repeated ids, repeated rows, clashing columns, wide buckets."""
+    monkeypatch.setattr(fuzzy_lines, "WIDE", 2)
+    base = "one common line of ten words that stands in rows"
+    rows = [(None, base + " here", "en", "s", 0), (None, base + " there", "en", "s", 0), (3, base + " now", "en", "s", 0), (3, base + " now", "en", "s", 0), (3, "another text, same id", "en", "s", 0), (4, None, None, None, 0)]
+    extra = {c: F.lit("x") for c in ("h", "key", "line", "at", "src", "node", "least", "size", "keep")}
+    got = fuzzy_lines.fuzzy_line_groups(spark.createDataFrame(rows, SCHEMA).withColumns(extra)).collect()
+    assert len(got) == 5 and len({x["group_id"] for x in got}) == 2
+    assert sorted((x["doc_id"] is None, x["kept"]) for x in got) == [(False, True)] * 3 + [(True, False)] * 2
+    assert all(x["keep_doc_id"] == 3 for x in got)
+    # Unlike lines with a common block, in a bucket wider than WIDE, and two alike ones among them.
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abdefhijlm") for _ in range(6))
+    lines = ["kilo kind word group " + " ".join(("c" if i % 3 == 0 else "") + word() for i in range(12)) for _ in range(30)]
+    lines.append(lines[17] + " end")
+    got = {x["doc_id"]: x["group_id"] for x in fuzzy_lines.fuzzy_line_groups(frame(spark, lines)).collect()}
+    assert got[30] == got[17] and len(set(got.values())) == 30
+
+
 def test_temperature():
     tokens = {"a": 9000, "b": 900, "c": 100, "none": 0}
     w = mixing.temperature_weights(tokens, max_repetition=2.0)
