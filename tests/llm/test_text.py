@@ -209,9 +209,8 @@ def test_fuzzy_lines_recall(spark):
     assert len(alike) > 20 and sum(group[distinct[i]] == group[distinct[j]] for i, j in alike) >= 0.9 * len(alike)
 
 
-def test_fuzzy_lines_edges(spark, monkeypatch):
-    """Null and repeated ids, repeated rows, clashing columns, wide buckets."""
-    monkeypatch.setattr(fuzzy_lines, "WIDE", 2)
+def test_fuzzy_lines_edges(spark):
+    """Null and repeated ids, repeated rows, clashing columns, hot buckets."""
     base = "one common line of ten words that stands in rows"
     rows = [(None, base + " here", "en", "s", 0), (None, base + " there", "en", "s", 0), (3, base + " now", "en", "s", 0), (3, base + " now", "en", "s", 0), (3, "another text, same id", "en", "s", 0), (4, None, None, None, 0)]
     extra = {c: F.lit("x") for c in ("h", "key", "line", "at", "src", "node", "least", "size", "keep")}
@@ -219,7 +218,7 @@ def test_fuzzy_lines_edges(spark, monkeypatch):
     assert len(got) == 5 and len({x["group_id"] for x in got}) == 2
     assert sorted((x["doc_id"] is None, x["kept"]) for x in got) == [(False, True)] * 3 + [(True, False)] * 2
     assert all(x["keep_doc_id"] == 3 for x in got)
-    # Unlike lines with a common block, in a bucket wider than WIDE, and two alike ones among them.
+    # Unlike lines with a common block, in one bucket, and two alike ones among them.
     r = random.Random(3)
     word = lambda: "".join(r.choice("abdefhijlm") for _ in range(6))
     lines = ["kilo kind word group " + " ".join(("c" if i % 3 == 0 else "") + word() for i in range(12)) for _ in range(30)]
