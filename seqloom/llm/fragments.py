@@ -216,12 +216,21 @@ def _batches(texts: pa.Array) -> Iterator[tuple[int, list[bytes | None]]]:
         yield first, held
 
 
-def _ids(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("string").alias("text"))
+def rows_of(docs: DataFrame) -> DataFrame:
+    """(id, twin, text): a document is told by its doc_id and, where that is null or repeated, by a hash of its text.
+
+    ``twin`` is 0 for all other rows, so that it costs next to nothing in a shuffle.  Documents stand
+    in the order (id, twin), null ids last; rows that repeat both id and text are one document.
+    """
+    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("string").alias("text"))
+    again = materialize(ids.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 AND id <> " + str(NO_ID)).select("id"), "repeated-ids")
+    marked = ids.join(again.withColumn("again", F.lit(True)), "id", "left")
+    twin = F.when((F.col("id") == NO_ID) | F.col("again"), F.xxhash64(F.coalesce("text", F.lit("")))).otherwise(F.lit(0).cast("long"))
+    return marked.select("id", twin.alias("twin"), "text")
 
 
-def repeated_runs(docs: DataFrame, units: Units) -> DataFrame:
-    """(h, g, id, start, count, twice) of every run whose minimizer h occurs again anywhere."""
+def repeated_runs(rows: DataFrame, units: Units) -> DataFrame:
+    """(h, g, id, twin, start, count, twice) of every run of ``rows_of`` a table whose minimizer h occurs again anywhere."""
 
     def minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,44 +241,43 @@ def repeated_runs(docs: DataFrame, units: Units) -> DataFrame:
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for row, texts in _batches(batch.column(1)):
+            ids, twins = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for row, texts in _batches(batch.column(2)):
                 found = batch_runs(texts, units)
                 g = np.fromiter(map(digest, found.pieces()), np.uint64, len(found.h))
-                columns = [found.h.view(np.int64), g.view(np.int64), ids[row + found.doc], found.start, found.count.astype(np.int32), found.twice]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "g", "id", "start", "count", "twice"])
+                columns = [found.h.view(np.int64), g.view(np.int64), ids[row + found.doc], twins[row + found.doc], found.start, found.count.astype(np.int32), found.twice]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "g", "id", "twin", "start", "count", "twice"])
 
-    ids = _ids(docs)
-    counted = ids.select("text").mapInArrow(minimizers, "h long").groupBy("h").agg(F.count("*").alias("n"))
+    counted = rows.select("text").mapInArrow(minimizers, "h long").groupBy("h").agg(F.count("*").alias("n"))
     # Written ahead of the join, as the aggregation would tie a hot minimizer's rows to one task.
     again = materialize(counted.where("n > 1").select("h"), "minimizers")
-    found = ids.mapInArrow(places, "h long, g long, id long, start long, count int, twice boolean").join(again, "h")
+    found = rows.mapInArrow(places, "h long, g long, id long, twin long, start long, count int, twice boolean").join(again, "h")
     return materialize(found, "runs")
 
 
-def repeats(docs: DataFrame, units: Units, index: Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], np.ndarray], within: bool) -> DataFrame:
-    """(id, start, count): runs of windows that also start at an earlier place.
+def repeats(rows: DataFrame, units: Units, index: Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], np.ndarray], within: bool) -> DataFrame:
+    """(id, twin, start, count): runs of windows of ``rows_of`` a table that also start at an earlier place.
 
-    Earlier: in a smaller doc_id or, if ``within``, at a smaller start of the same document.
-    ``index(fragments, ids, starts, counts)`` gets whole buckets and returns a flag for every
+    Earlier: in a document that stands before or, if ``within``, at a smaller start of the same document.
+    ``index(fragments, ids, starts, counts)`` gets whole buckets, documents numbered in their order, and returns a flag for every
     window of every fragment: whether it starts at an earlier place among these fragments.
     """
-    found = repeated_runs(docs, units)
-    first = found.groupBy("h", "g").agg(F.min(F.struct("id", "start", "count")).alias("first"), F.max("twice").alias("twice"))
+    found = repeated_runs(rows, units)
+    first = found.groupBy("h", "g").agg(F.min(F.struct("id", "twin", "start", "count")).alias("first"), F.max("twice").alias("twice"))
     first = materialize(first.select("h", "g", "first.*", "twice"), "classes")
     # A bucket of one fragment that cannot repeat itself needs no index.  Written ahead of the join,
     # whose sides are then plain exchanges, so that Spark can split a hot minimizer's rows.
     kinds = first.groupBy("h").agg(F.count("*").alias("k"), F.max("twice").alias("again")).where("k > 1 OR again" if within else "k > 1")
     kinds = materialize(kinds.select("h", (F.col("k") > WIDE).alias("wide")), "buckets")
     wide = first.join(kinds, "h")
-    wanted = wide.groupBy("id").agg(F.collect_list(F.struct("start", "count", "h", "g", "wide")).alias("want"))
+    wanted = wide.groupBy("id", "twin").agg(F.collect_list(F.struct("start", "count", "h", "g", "wide")).alias("want"))
     width = units.length - units.gram + 1
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
-        names = ["h", "sub", "g", "id", "start", "off", "count", "piece"]
+        names = ["h", "sub", "g", "id", "twin", "start", "off", "count", "piece"]
         for batch in batches:
-            for id_, text, want in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2)):
+            for id_, twin, text, want in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()), batch.column(3)):
                 read = units.read(text.as_py())
                 w = want.values.flatten()
                 start, count, h, g, wide = (c.to_numpy(zero_copy_only=False) for c in w)
@@ -278,29 +286,39 @@ def repeats(docs: DataFrame, units: Units, index: Callable[[list[bytes], np.ndar
                 out: list[tuple] = []
                 for k, piece in zip(np.flatnonzero(inside).tolist(), units.cut(*read, start[inside], count[inside].astype(np.int64))):
                     if digest(piece) != int(g[k]) & 0xFFFFFFFFFFFFFFFF:
-                        continue  # another row with this doc_id
+                        continue  # another text, by a collision of hashes
                     if not wide[k]:
-                        out.append((h[k], 0, g[k], id_, start[k], 0, count[k], piece))
+                        out.append((h[k], 0, g[k], id_, twin, start[k], 0, count[k], piece))
                         continue
                     own = units.read(piece)
                     x = units.gram_hashes(*own)
                     x[x == np.int64(h[k]).view(np.uint64)] = ~np.uint64(0)
                     second, at, long, _ = runs(x, width)
                     for sub, off, n, part in zip(second.view(np.int64).tolist(), at.tolist(), long.tolist(), units.cut(*own, at, long)):
-                        out.append((h[k], sub, g[k], id_, start[k] + off, off, n, part))
+                        out.append((h[k], sub, g[k], id_, twin, start[k] + off, off, n, part))
                 columns = list(zip(*out)) if out else [[] for _ in names]
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-    pieces = _ids(docs).join(wanted, "id").select("id", "text", "want").mapInArrow(
-        fetch, "h long, sub long, g long, id long, start long, off int, count int, piece binary"
+    pieces = rows.join(wanted, ["id", "twin"]).select("id", "twin", "text", "want").mapInArrow(
+        fetch, "h long, sub long, g long, id long, twin long, start long, off int, count int, piece binary"
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def solve(table: pa.Table) -> pa.RecordBatch:
-            ids, start, off, count = (table[c].to_numpy() for c in ("id", "start", "off", "count"))
+            place = [table[c].to_numpy() for c in ("h", "sub", "id", "twin", "start")]
+            again = np.all([x[1:] == x[:-1] for x in place], axis=0)
+            if again.any():  # repeated rows
+                table = table.filter(pa.array(np.concatenate(([True], ~again))))
+            ids, twin, start, off, count = (table[c].to_numpy() for c in ("id", "twin", "start", "off", "count"))
+            if twin.any():  # documents as numbers in their order
+                order = np.lexsort((twin, ids))
+                step = (np.diff(ids[order]) != 0) | (np.diff(twin[order]) != 0)
+                number = np.empty(len(ids), np.int64)
+                number[order] = np.concatenate(([0], np.cumsum(step)))
+                ids = number
             flags = index(table["piece"].to_pylist(), ids, start, count.astype(np.int64))
             piece = np.repeat(np.arange(len(ids)), count)
             at = np.arange(len(flags)) - np.repeat(np.cumsum(count) - count, count)
@@ -312,42 +330,48 @@ def repeats(docs: DataFrame, units: Units, index: Callable[[list[bytes], np.ndar
             of = piece[begin]
             return pa.RecordBatch.from_arrays([pa.array(table["h"].to_numpy()[of]), pa.array(table["g"].to_numpy()[of]), pa.array((off[of] + at[begin]).astype(np.int32)), pa.array(long.astype(np.int32))], ["h", "g", "off", "count"])
 
-        size = 0
+        size, open_ = 0, None  # open_: the bucket of the last row, which may go on
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, sub = batch.column("h").to_numpy(), batch.column("sub").to_numpy()
+            same = (h[0], sub[0]) == (h[-1], sub[-1]) == open_
+            open_ = (h[-1], sub[-1])
             held.append(batch)
             size += batch.column("piece").nbytes
-            if size >= CHUNK:
+            if size >= CHUNK and not same:  # else there is nothing to cut, so nothing is put together
                 table = pa.Table.from_batches(held).combine_chunks()
                 h, sub = table["h"].to_numpy(), table["sub"].to_numpy()
                 other = np.flatnonzero((h != h[-1]) | (sub != sub[-1]))
-                cut = int(other[-1]) + 1 if len(other) else 0  # the last bucket may go on
-                if cut:
+                if len(other):
+                    cut = int(other[-1]) + 1
                     yield solve(table.slice(0, cut))
-                held = table.slice(cut).to_batches()
-                size = sum(b.column("piece").nbytes for b in held) if cut else size
+                    held = table.slice(cut).combine_chunks().to_batches()
+                    size = sum(b.column("piece").nbytes for b in held)
         if held and sum(b.num_rows for b in held):
             yield solve(pa.Table.from_batches(held))
 
-    dealt = pieces.repartition("h", "sub").sortWithinPartitions("h", "sub", "id", "start")
+    dealt = pieces.repartition("h", "sub").sortWithinPartitions("h", "sub", "id", "twin", "start")
     verdict = dealt.mapInArrow(search, "h long, g long, off int, count int")
-    later = F.struct("id", "start") > F.struct("first_id", "first_start") if within else F.col("id") > F.col("first_id")
-    places = found.join(first.select("h", "g", F.col("id").alias("first_id"), F.col("start").alias("first_start")), ["h", "g"])
-    whole = places.where(later).select("id", "start", "count")
-    parts = places.where(~later).select("h", "g", "id", "start").join(verdict, ["h", "g"]).select("id", (F.col("start") + F.col("off")).alias("start"), "count")
+    key = ["id", "twin", "start"] if within else ["id", "twin"]
+    later = F.struct(*key) > F.struct(*[f"first_{c}" for c in key])
+    places = found.join(first.select("h", "g", *[F.col(c).alias(f"first_{c}") for c in ("id", "twin", "start")]), ["h", "g"])
+    whole = places.where(later).select("id", "twin", "start", "count")
+    parts = places.where(~later).select("h", "g", "id", "twin", "start").join(verdict, ["h", "g"]).select("id", "twin", (F.col("start") + F.col("off")).alias("start"), "count")
     return whole.unionByName(parts)
 
 
-def remove(docs: DataFrame, units: Units, windows: DataFrame) -> DataFrame:
-    """(doc_id, n_units, n_removed, n_spans, spans, kept_sha256): every unit covered by ``windows`` goes.
+def remove(rows: DataFrame, units: Units, windows: DataFrame) -> DataFrame:
+    """For each of ``rows_of`` a table (doc_id, n_units, n_removed, n_spans, spans, kept_sha256): every unit covered by ``windows`` goes.
 
     ``spans`` are the maximal removed runs as (start, end) in units; the kept units are joined by
     nothing (bytes) or one space (words) before hashing.
     """
-    lists = windows.groupBy("id").agg(F.collect_list(F.struct("start", "count")).alias("gone"))
+    lists = windows.groupBy("id", "twin").agg(F.collect_list(F.struct("start", "count")).alias("gone"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            out = []
             for id_, text, gone in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2)):
                 data, starts, ends = units.read(text.as_py())
                 n = len(data) if units.kind == "bytes" else len(ends)
@@ -366,14 +390,13 @@ def remove(docs: DataFrame, units: Units, windows: DataFrame) -> DataFrame:
                         kept = np.frombuffer(data, np.uint8)[~lost].tobytes()
                     else:
                         kept = b" ".join(data[a:b] for a, b in zip(starts[~lost].tolist(), ends[~lost].tolist()))
-                rows.append((None if id_ == NO_ID else id_, n, taken, len(spans), spans, hashlib.sha256(kept).hexdigest()))
+                out.append((None if id_ == NO_ID else id_, n, taken, len(spans), spans, hashlib.sha256(kept).hexdigest()))
             fields = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.string()]
-            columns = list(zip(*rows)) if rows else [[] for _ in fields]
+            columns = list(zip(*out)) if out else [[] for _ in fields]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, fields)], ["doc_id", "n_units", "n_removed", "n_spans", "spans", "kept_sha256"])
 
     return (
-        _ids(docs)
-        .join(lists, "id", "left")
+        rows.join(lists, ["id", "twin"], "left")
         .select("id", "text", "gone")
         .mapInArrow(run, "doc_id long, n_units long, n_removed long, n_spans long, spans array<struct<start: long, end: long>>, kept_sha256 string")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from seqloom.llm.fragments import Units, remove, repeats, word_hashes
+from seqloom.llm.fragments import Units, remove, repeats, rows_of
 
 #: Words of a factor at most.
 LONGEST = 32
@@ -88,10 +88,9 @@ def factored_windows(length: int, longest: int = LONGEST):
     longest = max(longest, length)
 
     def index(fragments: list[bytes], ids: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        data = b" ".join(fragments)
-        gaps = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
-        hashed = word_hashes(data, np.concatenate(([0], gaps + 1)), np.append(gaps, len(data)))
-        words = np.unique(hashed, return_inverse=True)[1].astype(np.int64)
+        parts = b" ".join(fragments).split(b" ")
+        number = {w: k for k, w in enumerate(set(parts))}
+        words = np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
         size = counts + (length - 1)
         begin = np.cumsum(size) - size
         end = begin + size
@@ -130,9 +129,12 @@ def remove_repeated_words(docs: DataFrame, length: int = 13) -> DataFrame:
 
     Words are ``[^\\x20\\x09-\\x0D]+`` of ``docs(doc_id, text, ...)``, unchanged; windows are judged
     on the input.  Returns doc_id, n_words, n_removed, n_spans, spans (in words) and kept_sha256 for
-    every row.  Null text has no words; a null doc_id comes after all others; rows that repeat a
-    doc_id are taken as one document.  Words are compared by 64-bit hashes.
+    every row.  Null text has no words; an empty table gives an empty table; other columns are not read.
+    Rows of one doc_id with unlike texts, and rows without a doc_id, are documents of their own, in
+    the order of a hash of their text, null ids last; rows that repeat id and text are one document.
+    Words of a bucket are compared by their bytes.
     """
     units = Units("words", length, max(1, (length * 2) // 5))
-    found = repeats(docs, units, factored_windows(length), within=False)
-    return remove(docs, units, found).withColumnRenamed("n_units", "n_words")
+    rows = rows_of(docs)
+    found = repeats(rows, units, factored_windows(length), within=False)
+    return remove(rows, units, found).withColumnRenamed("n_units", "n_words")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from seqloom.llm.fragments import Units, remove, repeats
+from seqloom.llm.fragments import Units, remove, repeats, rows_of
 
 _END = 255  # no byte of UTF-8
 
@@ -55,12 +55,18 @@ def prefix_classes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
             # Rows of an interval in the order of their LF images: a byte's rows are neighbours.
             owner = np.repeat(np.arange(len(low)), size)
             row = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
-            key = np.sort(owner << 40 | last[row].astype(np.int64) << 32 | lf[row])
-            edge = np.flatnonzero((key[1:] >> 32) != (key[:-1] >> 32)) + 1
+            byte, image = owner << 8 | last[row], lf[row]
+            if len(low) < 1 << 23 and n < 1 << 32:  # both fit one long
+                key = np.sort(byte << 32 | image)
+                byte, image = key >> 32, key & 0xFFFFFFFF
+            else:  # rows of one byte stand in the order of their images
+                order_of = np.argsort(byte, kind="stable")
+                byte, image = byte[order_of], image[order_of]
+            edge = np.flatnonzero(byte[1:] != byte[:-1]) + 1
             begin = np.concatenate(([0], edge))
-            end = np.append(edge, len(key))
-            to.append(key[begin] & 0xFFFFFFFF)
-            till.append((key[end - 1] & 0xFFFFFFFF) + 1)
+            end = np.append(edge, len(byte))
+            to.append(image[begin])
+            till.append(image[end - 1] + 1)
         low, high = np.concatenate(to), np.concatenate(till)
         new = ~seen[high]
         low, high = low[new], high[new]
@@ -99,9 +105,11 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 100) -> DataFrame:
     ``docs(doc_id, text, ...)``; earlier means a smaller doc_id, or the same document and an
     earlier start.  Strings are judged on the input and never cross documents.  Returns doc_id,
     n_bytes, n_removed, n_spans, spans and kept_sha256 for every row.  Null text counts as empty;
-    texts shorter than ``length`` stay whole; a null doc_id comes after all others; rows that repeat
-    a doc_id are taken as one document.  An empty table gives an empty table.
+    texts shorter than ``length`` stay whole.  Rows of one doc_id with unlike texts, and rows without a
+    doc_id, are documents of their own, in the order of a hash of their text, null ids last; rows
+    that repeat id and text are one document.  An empty table gives an empty table; other columns are not read.
     """
     units = Units("bytes", length, max(8, length // 24 * 8))
-    found = repeats(docs, units, earlier_windows(length), within=True)
-    return remove(docs, units, found).withColumnRenamed("n_units", "n_bytes")
+    rows = rows_of(docs)
+    found = repeats(rows, units, earlier_windows(length), within=True)
+    return remove(rows, units, found).withColumnRenamed("n_units", "n_bytes")

@@ -210,6 +210,30 @@ def test_bucket_indexes():
         assert rlz.factored_windows(n, r.choice([3, 9, 32]))([w.encode() for w in words], ids, starts, counts).tolist() == [a > first[w] for a, _, w in places]
 
 
+@pytest.mark.parametrize("wide", [1000, 2])
+@pytest.mark.parametrize("kind", ["bytes", "words"])
+def test_no_text_loses_what_another_lost(spark, monkeypatch, kind, wide):
+    """Null ids, one id with several texts, repeated rows: kept bytes and words against brute force, row by row."""
+    monkeypatch.setattr(fragments, "WIDE", wide)
+    texts = corpus(9, 30)
+    own = [" ".join(f"{tag}{i}" for i in range(60)) for tag in ("b", "c", "e")]
+    rows = [(1, texts[0]), (None, texts[0]), (None, own[0]), (5, texts[0]), (5, own[1]), (5, own[2] + " " + texts[4]), (7, own[1]), (7, own[1]), (8, None), (None, None), (9, "")]
+    rows += [(20 + i, t) for i, t in enumerate(texts)] + [(None, texts[8]), (None, texts[8]), (3, texts[8]), (3, texts[12])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA).repartition(4)
+    twin = {(x["id"], x["text"] or ""): x["twin"] for x in fragments.rows_of(docs).collect()}
+    order = sorted({(fragments.NO_ID if i is None else i, t or "") for i, t in rows}, key=lambda p: (p[0], twin[p]))
+    if kind == "bytes":
+        brute = brute_bytes([t for _, t in order], 100)
+        got = [(x["doc_id"], (x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"])) for x in suffix_dedup.remove_repeated_bytes(docs).collect()]
+    else:
+        brute = brute_words([t for _, t in order], 13)
+        got = [(x["doc_id"], (x["n_words"], x["n_removed"], x["kept_sha256"])) for x in rlz.remove_repeated_words(docs).collect()]
+    want = dict(zip(order, brute))
+    key = lambda p: (p[0] is None, p[0] or 0, p[1])
+    assert sorted(got, key=key) == sorted([(i, want[fragments.NO_ID if i is None else i, t or ""]) for i, t in rows], key=key)
+    assert any(g == (None, want[fragments.NO_ID, own[0]]) and g[1][1] == 0 for g in got)
+
+
 @pytest.mark.parametrize("run", [lambda d: exact_dedup.exact_duplicates(d), lambda d: simhash.near_duplicates(d), lambda d: suffix_dedup.remove_repeated_bytes(d), lambda d: rlz.remove_repeated_words(d)])
 def test_edges(spark, run):
     """Empty tables, null ids, repeated rows, extra columns with clashing names."""
