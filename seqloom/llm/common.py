@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,7 +23,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="seqloom-")
         spark.conf.set("spark.checkpoint.dir", base)
@@ -37,6 +38,17 @@ def materialize(df: DataFrame, name: str, sort: list[str] | None = None, **optio
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores behind it until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else.
 

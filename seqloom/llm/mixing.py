@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import materialize, words_of
+from seqloom.llm.common import fresh, materialize, words_of
 
 #: Halvings of the exponent's range.
 HALVINGS = 50
@@ -50,6 +50,14 @@ def order_key(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *[p.cast("string") for p in parts])), 1, 15), 16, 10).cast("long")
 
 
+def _source() -> Column:
+    return F.coalesce(F.col("source").cast("string"), F.lit(""))
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def mixing_plan(
     docs: DataFrame,
     target_entropy: float | None = None,
@@ -59,7 +67,7 @@ def mixing_plan(
     block_tokens: int = 1 << 18,
     seed: int = 42,
 ) -> DataFrame:
-    """(doc_id, source, tokens, block, copies) for every row of ``docs(doc_id, source, text, ...)``.
+    """(doc_id, source, tokens, block, copies, text_hash) for every row of ``docs(doc_id, source, text, ...)``.
 
     Each source gets floor(weight * budget) tokens: whole passes over it, then one partial pass.
     For the partial pass the source's documents stand in blocks of about ``block_tokens``, dealt
@@ -71,13 +79,15 @@ def mixing_plan(
     Only one number for each source reaches the driver.  Running sums go over blocks, which are
     aggregated before, and over the documents of one block, so a hot source is no hot task.  Null
     text has no tokens (and is read in whole passes only); null source is the source ''; a null
-    doc_id has a key of its own; rows that repeat a doc_id share its place.  Empty gives empty.
+    doc_id has a key of its own; rows that repeat a doc_id share its place in the order and are told
+    apart by a hash of their text.  An empty table gives an empty plan; other columns are not read.
     """
     sizes = materialize(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
-            F.coalesce("source", F.lit("")).alias("source"),
+            _source().alias("source"),
             F.size(words_of(F.col("text"))).cast("long").alias("tokens"),
+            _text_hash().alias("text_hash"),
         ),
         "sizes",
     )
@@ -103,16 +113,22 @@ def mixing_plan(
     state = F.when(F.col("over") == 0, F.lit("whole")).when(F.col("over") == 1, F.lit("part"))
     taken = ranked.where("over <= 1").select("source", "block", state.alias("state"), (F.col("rest") - F.col("upto") + F.col("size")).alias("room"))
     marked = dealt.join(taken, ["source", "block"], "left")
-    inside = Window.partitionBy("source", "block").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "block").orderBy("key", "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, 0)
     part = marked.where("state = 'part'").withColumn("more", F.when(F.sum("tokens").over(inside) <= F.col("room"), 1).otherwise(0))
     other = marked.where("state IS NULL OR state <> 'part'").withColumn("more", F.when(F.col("state") == "whole", 1).otherwise(0))
     # Documents without tokens never use up a budget; they are read in whole passes.
     more = F.when(F.col("tokens") > 0, F.col("more")).otherwise(0)
-    return part.unionByName(other).select("doc_id", "source", "tokens", "block", (F.col("passes") + more).alias("copies"))
+    return part.unionByName(other).select("doc_id", "source", "tokens", "block", (F.col("passes") + more).alias("copies"), "text_hash")
 
 
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` as often as ``mixing_plan`` says, with their columns as they were."""
-    plan = mixing_plan(docs, **options).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies")).dropDuplicates(["_id"])
-    joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"]))
-    return joined.withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    """The rows of ``docs`` as often as ``mixing_plan`` says, with their columns, of any names, as they were.
+
+    Rows meet the plan by doc_id (null among them), source and a hash of the text; rows that repeat all three are read equally often.
+    """
+    id_, source, text, copies, turn = fresh(docs, "_id", "_source", "_text", "_copies", "_pass")
+    plan = mixing_plan(docs, **options).groupBy("doc_id", "source", "text_hash").agg(F.max("copies").alias("copies")).where("copies > 0")
+    plan = plan.toDF(id_, source, text, copies)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (_source() == F.col(source)) & (_text_hash() == F.col(text))
+    joined = docs.join(plan, same)
+    return joined.withColumn(turn, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*docs.columns)

@@ -27,7 +27,7 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixing_plan(_documents(spark, sf_dir), max_repetition=1.25)
+    return mixing.mixing_plan(_documents(spark, sf_dir), max_repetition=1.25).drop("text_hash")
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,9 +173,7 @@ dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM full_
 norm AS (
   SELECT doc_id, host, t, lower(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS line FROM full_lines),
 freq AS (
-  SELECT host, line FROM (SELECT host, line, count(DISTINCT t) AS df FROM norm GROUP BY ALL)
-  JOIN (SELECT host, count(DISTINCT t) AS n FROM norm GROUP BY host) USING (host)
-  WHERE df >= 25 AND df > 0.1 * n),
+  SELECT host, line FROM (SELECT host, line, count(DISTINCT t) AS df FROM norm GROUP BY ALL) WHERE df >= 25),
 gone AS (
   SELECT doc_id, sum(len(string_split_regex(line, '[\x20\x09-\x0D]+')))::BIGINT AS n_removed_words
   FROM norm JOIN freq USING (host, line) GROUP BY doc_id),

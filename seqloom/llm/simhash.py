@@ -39,7 +39,7 @@ def fingerprint(text: bytes | None, width: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42) -> DataFrame:
+def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42, key: str = "doc_id long") -> DataFrame:
     """(doc_id, fp): each document's fingerprint as a signed long; a narrow map over whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,7 +47,7 @@ def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42) -> DataFrame:
             fps = np.array([fingerprint(t, width, seed) for t in batch.column(1).cast(pa.binary()).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64), pa.int64())], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"{key}, fp long")
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -219,7 +219,7 @@ def near_duplicates(docs: DataFrame, bits: int = 4, width: int = 4, seed: int =
     with a null doc_id take part with their fingerprint's class but never name it (a class of
     such rows only has a null component).  Repeated rows come back as often as they came.
     """
-    fps = materialize(fingerprints(docs, width, seed), "fps")
+    fps = materialize(fingerprints(docs.select(F.col("doc_id").cast("long"), "text"), width, seed), "fps")
     groups = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_same")), "fp-groups")
     links = fingerprint_links(groups.where("rep IS NOT NULL"), bits)
     classes = connected_components(links)
@@ -227,7 +227,14 @@ def near_duplicates(docs: DataFrame, bits: int = 4, width: int = 4, seed: int =
     return fps.join(named, "fp").select("doc_id", "fp", "component_id", "n_same")
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay: of each class the one with the smallest doc_id."""
-    gone = near_duplicates(docs, **options).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+def drop_near_duplicates(docs: DataFrame, bits: int = 4, width: int = 4, seed: int = 42) -> DataFrame:
+    """The rows of ``docs`` that stay: of each class those with the smallest doc_id, and those without a doc_id.
+
+    A row goes only if its own text is in the class: rows meet verdicts by doc_id and a hash of the text.
+    """
+    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    near = near_duplicates(rows, bits, width, seed).select("fp", "component_id").distinct()
+    row = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    fps = fingerprints(rows.select(F.struct("doc_id", row.alias("row")).alias("doc_id"), "text"), width, seed, "doc_id struct<doc_id: long, row: long>")
+    gone = fps.join(near, "fp").where("doc_id.doc_id <> component_id").select(F.col("doc_id.doc_id").alias("_gone"), F.col("doc_id.row").alias("_row")).distinct()
+    return docs.join(gone, (docs["doc_id"] == gone["_gone"]) & (row == gone["_row"]), "left_anti")

@@ -108,13 +108,13 @@ def test_quality(spark):
     texts += [f"shared boilerplate line of this host\nbody {i} " + " ".join(f"u{i}v{k}" for k in range(3 if i < 5 else 30)) for i in range(40)]
     copies = "\n".join(" ".join(f"c{k}d{j}" for j in range(9)) for k in range(6))
     texts += [copies] * 80
-    got = {x["doc_id"]: x for x in quality.quality_rules(frame(spark, texts), share=0.1, least=10).collect()}
+    got = {x["doc_id"]: x for x in quality.quality_rules(frame(spark, texts), least=10).collect()}
     for i, t in enumerate(texts):
         assert tuple(got[i])[1:7] == brute_base(t), t
     n = len(texts) - 120
     assert [got[n + i]["kept"] for i in range(40)] == [False] * 5 + [True] * 35
     assert all(got[i]["kept"] for i in range(n + 40, len(texts)))  # copies are no boilerplate
-    out = quality.keep_good(frame(spark, texts), share=0.1, least=10)
+    out = quality.keep_good(frame(spark, texts), least=10)
     row = out.where(F.col("doc_id") == n + 20).first()
     assert "boilerplate" not in row["text"] and row["text"].startswith("body 20") and row["n_chars"] == len(row["text"])
     assert out.count() == sum(x["kept"] for x in got.values())
