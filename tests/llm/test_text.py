@@ -121,6 +121,46 @@ def test_quality(spark):
     assert quality.quality_rules(frame(spark, [])).count() == 0
 
 
+CLASH = ["_id", "_kept", "_cut", "_copies", "_pass", "_host", "_source", "host", "h", "t", "digest", "_digest", "_own", "_hit", "_gone", "_row", "block", "key", "id", "ids"]
+
+
+def odd_rows(clean):
+    """Null and repeated ids beside unlike texts, repeated rows, nulls in every column."""
+    return [(5, clean[0], "en", "s", 1)] * 3 + [(None, clean[1], "en", "s", 1), (None, "bad", "en", "s", 1), (5, clean[2], None, None, None), (5, "bad", "en", "s", 1), (None, None, None, None, None), (6, "", "en", "s", 0)]
+
+
+def test_kept_rows_come_once(spark):
+    """keep_good and drop_exact_duplicates by contents: a row is judged by its own text, whatever its id."""
+    from seqloom.llm import exact_dedup
+
+    r = random.Random(21)
+    clean = [" ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(30)) for _ in range(3)]
+    rows = odd_rows(clean)
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("x") for c in CLASH})
+    good = quality.keep_good(docs)
+    assert good.columns == docs.columns
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
+    assert sorted(((x["doc_id"], x["text"]) for x in good.collect()), key=key) == sorted(((i, t) for i, t, *_ in rows if t in clean), key=key)
+    once = exact_dedup.drop_exact_duplicates(docs)
+    assert once.columns == docs.columns
+    assert sorted(((x["doc_id"], x["text"] or "") for x in once.collect()), key=key) == sorted([(5, clean[0]), (None, clean[1]), (5, clean[2]), (5, "bad"), (6, "")], key=key)
+    mixed = mixing.mix_sources(docs, max_repetition=1.0, cover=True)
+    assert mixed.columns == docs.columns
+    assert sorted(((x["doc_id"], x["text"]) for x in mixed.collect()), key=key) == sorted(((i, t) for i, t, *_ in rows), key=key)
+    assert mixing.mix_sources(docs.limit(0)).count() == quality.keep_good(docs.limit(0)).count() == exact_dedup.drop_exact_duplicates(docs.limit(0)).count() == 0
+
+
+def test_lines_go_from_rows_without_ids(spark):
+    """Boilerplate is counted and cut in rows with null and repeated ids like in others; a hot host has no other limit."""
+    line = "read all about our cookies here"
+    body = lambda i: " ".join(f"u{i}v{k}" for k in range(20))
+    rows = [(None if i % 2 else 7, f"{line}\n{body(i)}", "en", "a", 0) for i in range(30)] + [(100 + i, body(100 + i), "en", "a", 0) for i in range(400)] + [(i, f"{line}\n{body(i)}", "en", "b", 0) for i in range(500, 510)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = sorted(x["text"] for x in quality.keep_good(docs).collect())
+    assert got == sorted([body(i) for i in range(30)] + [body(100 + i) for i in range(400)] + [f"{line}\n{body(i)}" for i in range(500, 510)])
+    assert quality.keep_good(docs, share=0.5).where("source = 'b' AND text LIKE 'read all%'").count() == 0
+
+
 def alike_pairs(lines, similarity=0.8):
     """All pairs of different lines at this edit similarity, by DuckDB's edit distance; counts of characters bound it from below."""
     import duckdb
@@ -288,6 +328,76 @@ def test_lm_tells_text_from_noise(spark):
     assert lm_scoring.train(frame(spark, []), lm_scoring.Shape(2, 40, 4)).known == {}
 
 
+def test_pipeline_against_brute_force(spark, tmp_path, library):
+    """Every stage by hand: base rules and boilerplate, equal texts, near copies, whole passes, ids."""
+    import corpus_pipeline as P
+
+    r = random.Random(31)
+    make = lambda n: [("".join(r.choice("abcdefghijklmnop") for _ in range(5))) for _ in range(n)]
+    texts, sources = [], []
+    for k in range(40):
+        words = make(80)
+        texts.append(" ".join(words))
+        if k % 5 == 0:
+            near = list(words)
+            near[40] = "changed"
+            texts += [" ".join(near), " ".join(words).upper(), " ".join(words)]
+        if k % 8 == 0:
+            texts.append("subscribe to our letter today\n" + " ".join(make(30)))
+    texts += ["subscribe to our letter today\n" + " ".join(make(30)) for _ in range(25)] + ["two words", None, "", "again and again " * 20]
+    sources = [f"s{i % 2}" if i < 60 else "s0" for i in range(len(texts))]
+    frame(spark, texts, sources).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = P.run(spark, str(tmp_path)).collect()
+    kept = {}
+    norm = {i: [(sources[i], normal(x)) for x in (t or "").split("\n") if normal(x)] for i, t in enumerate(texts)}
+    hosts: dict = {}
+    for i, t in enumerate(texts):
+        for x in norm[i]:
+            hosts.setdefault(x, set()).add(t)
+    for i, t in enumerate(texts):
+        words = len((t or "").split())
+        gone = [x for x in norm[i] if len(hosts[x]) >= 25]
+        if brute_base(t)[-1] or sum(len(x[1].split()) for x in gone) > 0.5 * words:
+            continue
+        kept[i] = "\n".join(x for x in t.split("\n") if (sources[i], normal(x)) not in gone)
+    assert any(kept[i] != texts[i] for i in kept)
+    first: dict = {}
+    for i, t in kept.items():
+        first.setdefault(t.lower(), i)
+    left = sorted(first.values())
+    sets = {i: {tuple(kept[i].lower().split()[k : k + 5]) for k in range(len(kept[i].split()) - 4)} for i in left}
+    root = {i: i for i in left}
+    for n, i in enumerate(left):
+        for j in left[:n]:
+            if root[j] == j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root[i] = j
+                break
+    left = [i for i in left if root[i] == i]
+    got: dict[int, int] = {}
+    for x in rows:
+        got[x["doc_id"]] = got.get(x["doc_id"], 0) + 1
+        ids = library.encode(kept[x["doc_id"]], add_special_tokens=False).ids
+        assert x["n_tokens"] == len(ids) and x["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert x["decoded_sha256"] == hashlib.sha256(kept[x["doc_id"]].encode()).hexdigest()
+    assert sorted(got) == left and set(got.values()) <= {1, 2}
+    total: dict = {}
+    read: dict = {}
+    for i in left:
+        n = len(kept[i].split())
+        total[sources[i]] = total.get(sources[i], 0) + n
+        read[sources[i]] = read.get(sources[i], 0) + n * got[i]
+    w = mixing.temperature_weights(total, max_repetition=1.5, cover=True)
+    budget = max(total[s] / w[s] for s in total)
+    assert all(w[s] * budget - 81 <= read[s] <= w[s] * budget + 1e-3 for s in total)
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    import corpus_pipeline as P
+
+    frame(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
+    assert P.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline(spark, tmp_path, library):
     import corpus_pipeline as P
 
