@@ -167,22 +167,25 @@ class Model:
     flat: np.ndarray
 
 
-def train(docs: DataFrame, shape: Shape = Shape(), rounds: int = 2, stride: int = 8, batch: int = 1024, rate: float = 0.05, seed: int = 42) -> Model:
+def train(docs: DataFrame, shape: Shape = Shape(), rounds: int = 1, batch: int = 8192, rate: float = 0.1, seed: int = 42) -> Model:
     """Train on every document: each task descends on its own rows, and the weights are averaged by their targets.
 
-    In a round, every ``stride``-th word of each text (from a start that moves with the round) is
-    a target, so what is learnt from grows with the input.  A task sends its weights in a few
-    blocks; Spark adds the blocks up; the averaged network, whose size is fixed, starts the next round.
+    In a round every word of every text is a target once, predicted from both sides.  A task sends its
+    weights in a few blocks; Spark adds the blocks up; the averaged network, whose size is fixed, starts the next round.
+
+    Null and empty texts teach nothing; an empty table gives the network as it starts; very long
+    texts are learnt in parts; repeated rows count as often as they stand; only ``text`` is read.  Averages depend
+    on how rows are split into tasks.
     """
     known = vocabulary(docs, shape.vocabulary - 1 - BY_LENGTH)
     context = docs.sparkSession.sparkContext
     flat = Network(shape, seed=seed).packed()
     block = 16_384
     texts = docs.select(F.col("text").cast("string"))
-    for turn in range(rounds):
+    for _ in range(rounds):
         shared = context.broadcast((known, flat))  # fixed size: the vocabulary and one network
 
-        def descend(batches: Iterator[pa.RecordBatch], turn: int = turn, shared=shared) -> Iterator[pa.RecordBatch]:
+        def descend(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             words, start = shared.value
             net = Network.unpacked(shape, start)
             held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -199,10 +202,9 @@ def train(docs: DataFrame, shape: Shape = Shape(), rounds: int = 2, stride: int
             for rows in batches:
                 for text in rows.column(0).cast(pa.binary()):
                     ids = _ids((text.as_py() or b"").split(), words)
-                    at = np.arange((turn * stride) // rounds, len(ids), stride)
-                    if len(at):
-                        held.append((_contexts(ids)[at], ids[at]))
-                        size += len(at)
+                    if len(ids):
+                        held.append((_contexts(ids), ids))
+                        size += len(ids)
                     if size >= 16 * batch:
                         learn()
                         total, held, size = total + size, [], 0
@@ -235,7 +237,8 @@ def train(docs: DataFrame, shape: Shape = Shape(), rounds: int = 2, stride: int
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, n_tokens, log_prob, mean_log_prob): the summed conditional log-probabilities of all words of each text.
 
-    Null or wordless texts have 0 tokens, log_prob 0 and a null mean.  A narrow map.
+    Null or wordless texts have 0 tokens, log_prob 0 and a null mean; null and repeated doc_ids come
+    back as they are; an empty table gives an empty table; other columns are not read.  A narrow map.
     """
     shape = model.shape
     shared = docs.sparkSession.sparkContext.broadcast((model.known, model.flat))

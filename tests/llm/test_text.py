@@ -318,7 +318,7 @@ def test_lm_tells_text_from_noise(spark):
     r = random.Random(10)
     pairs = {f"a{i}": f"b{i}" for i in range(20)}
     make = lambda: " ".join(x for _ in range(40) for x in (lambda k: (k, pairs[k]))(r.choice(list(pairs))))
-    model = lm_scoring.train(frame(spark, [make() for _ in range(400)]), lm_scoring.Shape(8, 8, 16), stride=1, batch=256)
+    model = lm_scoring.train(frame(spark, [make() for _ in range(400)]), lm_scoring.Shape(8, 8, 16), rounds=2, batch=256)
     held = [make() for _ in range(20)]
     mixed = [" ".join(r.sample(t.split(), 80)) for t in held]
     got = {x["doc_id"]: x for x in lm_scoring.score(frame(spark, [*held, *mixed, None, "unseen"]), model).collect()}
@@ -328,6 +328,32 @@ def test_lm_tells_text_from_noise(spark):
     assert lm_scoring.train(frame(spark, []), lm_scoring.Shape(2, 40, 4)).known == {}
 
 
+def test_scores_against_brute_force(spark):
+    """Scores from given weights, word by word, in plain Python; also of null, empty, long and repeated texts."""
+    shape = lm_scoring.Shape(3, 9, 4)
+    r = np.random.default_rng(5)
+    net = lm_scoring.Network(shape, seed=3)
+    net.weights = [r.normal(0, 0.5, w.shape).astype(np.float32) for w in net.weights]
+    known = {f"w{k}".encode(): 17 + k for k in range(10)}
+    model = lm_scoring.Model(shape, known, net.packed())
+    texts = ["w1 w2 unseen w3", "w9", "w4 " * 300 + "w5", None, "", "w1 w2 unseen w3", "a bb ccc \n\t w0"]
+    extra = {c: F.lit("x") for c in ("n_tokens", "log_prob", "word")}
+    got = {x["doc_id"]: x for x in lm_scoring.score(frame(spark, texts).withColumns(extra), model).collect()}
+    table, bias, wc, bc, wm, bm = [w.astype(np.float64) for w in net.weights]
+    softmax = lambda x: np.exp(x) / np.exp(x).sum()
+    for i, t in enumerate(texts):
+        ids = [known.get(w.encode(), min(len(w), 16)) for w in (t or "").split()]
+        total = 0.0
+        for k, x in enumerate(ids):
+            around = [ids[k + d] if 0 <= k + d < len(ids) else 0 for d in (-2, -1, 1, 2)]
+            hid = np.tanh(bias + sum(table[j][c] for j, c in enumerate(around)))
+            group, place = divmod(x, shape.members)
+            total += math.log(softmax(hid @ wc + bc)[group]) + math.log(softmax(hid @ wm[group] + bm[group])[place])
+        assert got[i]["n_tokens"] == len(ids) and abs(got[i]["log_prob"] - total) < 1e-3 * (1 + abs(total))
+    words = {w.encode(): n for w, n in {"b": 3, "a": 3, "c": 1}.items()}
+    assert list(lm_scoring.vocabulary(frame(spark, ["a b a b c", "a b", None]), 2)) == sorted(words, key=lambda w: (-words[w], w))[:2]
+
+
 def test_pipeline_against_brute_force(spark, tmp_path, library):
     """Every stage by hand: base rules and boilerplate, equal texts, near copies, whole passes, ids."""
     import corpus_pipeline as P
