@@ -13,27 +13,27 @@ from pyspark.sql import functions as F
 
 from seqloom.operators.merge import limit_targets
 
-#: Letters of a block of a sequence that is cut into seeds.
-BLOCK = 512
+#: Letters of the blocks of a sequence that is cut into seeds: first long ones, then short ones.
+BLOCKS = (4096, 64)
 #: Residues with like chemistry share a letter in the reduced alphabet.
 GROUPS = ["AGPST", "C", "DENQ", "FWY", "HKR", "ILMV"]
 
 
 @dataclass(frozen=True)
 class Sensitivity:
-    """``k``: seed length; ``reduced``: seeds over groups of residues; ``min_seeds``: on one diagonal; ``max_df``: sequences that may hold a seed."""
+    """``k``: seed length; ``reduced``: seeds over groups of residues; ``min_seeds``: on one diagonal; ``max_df``: sequences that may hold a seed (None: any number, nothing is masked)."""
 
     k: int
     reduced: bool
     min_seeds: int
-    max_df: int
+    max_df: int | None = None
 
 
 PRESETS = {
-    "fast": Sensitivity(6, False, 2, 1_000),
-    "sensitive": Sensitivity(5, False, 2, 5_000),
-    "very-sensitive": Sensitivity(4, False, 3, 20_000),
-    "ultra-sensitive": Sensitivity(6, True, 2, 50_000),
+    "fast": Sensitivity(6, False, 2),
+    "sensitive": Sensitivity(5, False, 2),
+    "very-sensitive": Sensitivity(4, False, 3),
+    "ultra-sensitive": Sensitivity(6, True, 2),
 }
 
 
@@ -44,10 +44,11 @@ def reduce_alphabet(sequence: Column) -> Column:
 def seeds(sequences: DataFrame, k: int, reduced: bool = False) -> DataFrame:
     """(id, pos, seed): every k letters, from position 1."""
     letters = reduce_alphabet(F.col("sequence")) if reduced else F.col("sequence")
-    base = sequences.select("id", letters.alias("s")).where(F.length("s") >= k)
-    # Blocks first: finding a place in a string takes time in proportion to the place.
-    blocks = base.select("id", "s", F.explode(F.sequence(F.lit(0), F.floor((F.length("s") - k) / BLOCK).cast("int"))).alias("b"))
-    parts = blocks.select("id", (F.col("b") * BLOCK).alias("off"), F.substring("s", F.col("b") * BLOCK + 1, F.lit(BLOCK + k - 1)).alias("s"))
+    parts = sequences.select("id", F.lit(0).alias("off"), letters.alias("s")).where(F.length("s") >= k)
+    # Blocks first: finding a place in a string takes time in proportion to the place, and a row is copied for each seed.
+    for size in BLOCKS:
+        blocks = parts.select("id", "off", "s", F.explode(F.sequence(F.lit(0), F.floor((F.length("s") - k) / size).cast("int"))).alias("b"))
+        parts = blocks.select("id", (F.col("off") + F.col("b") * size).alias("off"), F.substring("s", F.col("b") * size + 1, F.lit(size + k - 1)).alias("s"))
     at = parts.select("id", "off", "s", F.explode(F.sequence(F.lit(1), F.length("s") - (k - 1))).alias("at"))
     return at.select("id", (F.col("off") + F.col("at")).alias("pos"), F.substring("s", F.col("at"), F.lit(k)).alias("seed"))
 
@@ -69,8 +70,9 @@ def mask_frequent_seeds(index: DataFrame, max_df: int) -> DataFrame:
 
 def seed_join(queries: DataFrame, index: DataFrame, k: int, min_seeds: int, reduced: bool = False) -> DataFrame:
     """(query_id, subject_id, diagonal, n_seeds): pairs with ``min_seeds`` common seeds on a diagonal."""
-    q = seeds(queries, k, reduced).select(F.col("id").alias("query_id"), F.col("pos").alias("qpos"), "seed")
-    s = index.select(F.col("id").alias("subject_id"), F.col("pos").alias("spos"), "seed")
+    # Seeds meet by a 64-bit hash, which is less to shuffle and to compare than letters.
+    q = seeds(queries, k, reduced).select(F.col("id").alias("query_id"), F.col("pos").alias("qpos"), F.xxhash64("seed").alias("seed"))
+    s = index.select(F.col("id").alias("subject_id"), F.col("pos").alias("spos"), F.xxhash64("seed").alias("seed"))
     pairs = q.join(s, "seed").groupBy("query_id", "subject_id", (F.col("qpos") - F.col("spos")).alias("diagonal"))
     return pairs.agg(F.count("*").alias("n_seeds")).where(F.col("n_seeds") >= min_seeds)
 
@@ -139,7 +141,9 @@ def score_evalue(hits: DataFrame, queries: DataFrame, refs: DataFrame, lam: floa
 def align(queries: DataFrame, refs: DataFrame, sensitivity: str | Sensitivity = "very-sensitive", max_target_seqs: int = 50, max_evalue: float = 10.0, scores: dict | None = None) -> DataFrame:
     """Hits of queries against references.  ``refs`` may have ``ref_chunk_id``; each (query, reference chunk) keeps its best targets."""
     p = PRESETS[sensitivity] if isinstance(sensitivity, str) else sensitivity
-    index = mask_frequent_seeds(build_seed_index(refs, p.k, p.reduced), p.max_df)
+    index = build_seed_index(refs, p.k, p.reduced)
+    if p.max_df is not None:
+        index = mask_frequent_seeds(index, p.max_df)
     hits = score_evalue(extend_ungapped(seed_join(queries, index, p.k, p.min_seeds, p.reduced), queries, refs, scores), queries, refs).where(F.col("evalue") <= max_evalue)
     if "ref_chunk_id" in refs.columns:
         hits = hits.join(refs.select(F.col("id").alias("subject_id"), "ref_chunk_id"), "subject_id")

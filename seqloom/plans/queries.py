@@ -299,7 +299,7 @@ SELECT query_id, subject_id, (hi - lo)::INT AS alignment_length, (hi - lo - n)::
 @query(_ALIGN)
 def a3_a7_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items, with seeds of 16 letters and eight of them on a diagonal."""
-    hits = A.align(B.documents(spark, sf_dir), B.benchmark(spark, sf_dir), A.Sensitivity(16, False, 8, 1000))
+    hits = A.align(B.documents(spark, sf_dir), B.benchmark(spark, sf_dir), A.Sensitivity(16, False, 8))
     return hits.select(
         "query_id", "subject_id", "alignment_length", "mismatches", "query_start", "subject_start", "score", F.round("percent_identity", 6).alias("percent_identity"),
         F.round("bitscore", 4).alias("bitscore"), F.round(F.log10(F.col("evalue") + 1e-300), 4).alias("log_evalue"),
@@ -483,6 +483,20 @@ def l7_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.run_summary(_runs(spark, sf_dir), _datasets(spark, sf_dir)).drop("seconds")
 
 
+@query("SELECT 'sha256:' || sha256(string_agg(n_name || chr(10), '' ORDER BY n_nationkey)) AS checksum, sum(length(n_name) + 1)::BIGINT AS n_bytes FROM nation")
+def c3_file_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations' names as one text file, and its checksum."""
+    path = scratch_path(spark, "names")
+    B.table(spark, sf_dir, "nation").orderBy("n_nationkey").select("n_name").coalesce(1).write.text(path)
+    return TB.file_checksums(spark, f"{path}/*.txt").select("checksum", "n_bytes")
+
+
+@query(f"SELECT query_id, subject_id, evalue, 0 AS global_rank FROM ({_hits_sql()}) WHERE evalue < 0")
+def m8_merge_of_no_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits below an impossible e-value: none, merged, keep the merged columns."""
+    return M.merge_hits(B.hits(spark, sf_dir).where("evalue < 0"), 50).select("query_id", "subject_id", "evalue", "global_rank")
+
+
 @query("SELECT n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL")
 def q1_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_views(spark, {t: f"{sf_dir}/{t}.parquet" for t in ("customer", "nation")})
@@ -600,13 +614,14 @@ def r15_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run_to_table(spark: SparkSession, stream: DataFrame, name: str, mode: str) -> DataFrame:
     """Run a stream until all input is read; ``complete`` results replace the table, others are appended."""
     path = scratch_path(spark, name)
-    how = "overwrite" if mode == "complete" else "append"
+    # A batch that is run again after a failure replaces what it wrote before.
+    place = (lambda _: f"{path}/last") if mode == "complete" else (lambda batch: f"{path}/batch-{batch}")
     q = (
-        stream.writeStream.outputMode(mode).foreachBatch(lambda df, _: df.write.mode(how).parquet(path))
+        stream.writeStream.outputMode(mode).foreachBatch(lambda df, batch: df.write.mode("overwrite").parquet(place(batch)))
         .option("checkpointLocation", scratch_path(spark, f"{name}-log")).trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", True).parquet(path)
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,9 +67,17 @@ def with_reason(records: DataFrame) -> DataFrame:
 
 
 def line_numbers(records: DataFrame) -> DataFrame:
-    """``records`` with ``last_line``, the number in its file of a record's last line (only for rejects' reports)."""
-    order = Window.partitionBy("path").orderBy("start", "seq_no")
-    return records.withColumn("last_line", F.sum("n_lines").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    """``records`` with ``last_line``, the number in its file of a record's last line (only for rejects' reports).
+
+    Lines are counted inside each block of a file, and blocks' sums, a row a block, inside each file;
+    so a large file is numbered by many tasks.
+    """
+    inside = Window.partitionBy("path", "start").orderBy("seq_no").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = records.groupBy("path", "start").agg(F.sum("n_lines").alias("block_lines"))
+    ahead = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("path", "start", F.coalesce(F.sum("block_lines").over(ahead), F.lit(0)).alias("lines_ahead"))
+    counted = records.withColumn("lines_inside", F.sum("n_lines").over(inside))
+    return counted.join(offsets, ["path", "start"]).withColumn("last_line", F.col("lines_ahead") + F.col("lines_inside")).drop("lines_ahead", "lines_inside")
 
 
 def to_sequences(records: DataFrame) -> DataFrame:
@@ -84,10 +92,10 @@ def validate_sequences(records: DataFrame, mode: str = "failfast") -> tuple[Data
     if mode not in ("failfast", "quarantine"):
         raise ValueError("mode is 'failfast' or 'quarantine'")
     judged = with_reason(records)
-    rejects = line_numbers(judged).where("reason IS NOT NULL").select("path", "last_line", "description", "reason")
+    rejects = line_numbers(judged.select("path", "start", "seq_no", "n_lines", "description", "reason")).where("reason IS NOT NULL").select("path", "last_line", "description", "reason")
     if mode == "quarantine":
         return to_sequences(judged.where("reason IS NULL")), rejects
-    message = F.raise_error(F.concat(F.lit("line of "), F.col("path"), F.lit(": "), F.col("reason"))).cast("string")
+    message = F.raise_error(F.concat(F.col("path"), F.lit(", block at byte "), F.col("start"), F.lit(", record '"), F.coalesce("description", F.lit("")), F.lit("': "), F.col("reason"))).cast("string")
     checked = judged.withColumn("description", F.when(F.col("reason").isNotNull(), message).otherwise(F.col("description")))
     return to_sequences(checked), rejects
 

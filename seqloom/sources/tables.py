@@ -106,3 +106,9 @@ def write_features(features: DataFrame, path: str) -> None:
     """Features by version and run; a run that is written again replaces itself."""
     base = features.select(*FEATURES.names, *[c for c in features.columns if c not in FEATURES.names])
     base.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("feature_version", "run_id").parquet(path)
+
+
+def file_checksums(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, n_bytes, checksum) of input files, for their provenance; one row a file, read by tasks (a file of up to 2 GB)."""
+    files = spark.read.format("binaryFile").load(paths)
+    return files.select("path", F.col("length").alias("n_bytes"), F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("checksum"))
