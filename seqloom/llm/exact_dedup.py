@@ -35,13 +35,14 @@ def verified_hits(docs: DataFrame, runs: DataFrame, keep: str, digest=sha256_of)
     """((digest, t, keep_id, group_size) of texts that stand in two rows or more, whether digests collided).
 
     The compacted level's digests of two or more rows are hits.  Texts are read again for hits only, and the smallest
-    and the largest of a digest, found in every task ahead of the shuffle, must be the same bytes.
+    and the largest of a digest must be the same bytes.  Texts are dealt by digest whatever the number of hits (a plan that
+    broadcasts few hits would not hold for many); Spark splits a hot digest's texts, of which a semi-join has no second side.
     ``t`` is null but for digests that fail: their rows are counted by text.
     """
     pick, ident = (F.min, "min_id") if keep == "smallest" else (F.max, "max_id")
     hits = materialize(compact(runs).where("n > 1").select("digest", F.col(ident).alias("keep_id"), F.col("n").alias("group_size")), "lsm-hits")
     text = ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("t")
-    texts = docs.select("doc_id", text).withColumn("digest", digest(F.col("t"))).join(hits.select("digest"), "digest", "left_semi")
+    texts = docs.select("doc_id", text).withColumn("digest", digest(F.col("t"))).join(hits.select("digest").hint("merge"), "digest", "left_semi")
     collided = materialize(
         texts.groupBy("digest").agg(F.min("t").alias("low"), F.max("t").alias("high")).where("low <> high").select("digest"), "lsm-collided"
     )
@@ -73,7 +74,7 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", digest=sha256_of)
         runs = docs.select("doc_id", text).withColumn("digest", digest(F.col("own")))
         rows = runs.join(hits.withColumnRenamed("digest", "hit"), (F.col("digest") == F.col("hit")) & (F.col("t").isNull() | (F.col("t") == F.col("own"))), "left")
     else:
-        rows = runs.join(hits.drop("t").withColumnRenamed("digest", "hit"), F.col("digest") == F.col("hit"), "left")
+        rows = runs.join(hits.drop("t").withColumnRenamed("digest", "hit").hint("merge"), F.col("digest") == F.col("hit"), "left")
     keep_id = F.when(F.col("hit").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     out = rows.select("doc_id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), "digest")
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
