@@ -89,7 +89,7 @@ def drop_exact_duplicates(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     runs = flush_memtables(docs)
     hits, _ = verified_hits(docs, runs, keep)
     digest, own, hit, text, keep_id, size = fresh(docs, "_digest", "_own", "_hit", "_text", "_keep", "_size")
-    named = hits.toDF(hit, text, keep_id, size)
+    named = hits.toDF(hit, text, keep_id, size).hint("merge")
     marked = docs.withColumn(own, ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit("")))).withColumn(digest, sha256_of(F.col(own)))
     joined = marked.join(named, (F.col(digest) == F.col(hit)) & (F.col(text).isNull() | (F.col(text) == F.col(own))), "left")
     lone = joined.where(F.col(hit).isNull()).select(*docs.columns)

@@ -142,7 +142,7 @@ def keep_good(docs: DataFrame, least: int = 25, max_removed: float = 0.5, share:
     marks = rules.where("NOT kept OR n_removed_words > 0").select("host", "text_hash", "kept").distinct().join(cuts, ["host", "text_hash"], "left")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.withColumn(host, F.coalesce(F.col("source").cast("string"), F.lit(""))).withColumn(text_hash, F.xxhash64(text))
-    joined = keyed.join(marks.toDF(host, text_hash, kept, cut), [host, text_hash], "left").where(F.coalesce(kept, F.lit(True)))
+    joined = keyed.join(marks.toDF(host, text_hash, kept, cut).hint("merge"), [host, text_hash], "left").where(F.coalesce(kept, F.lit(True)))
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col(cut), F.xxhash64(normal_line(x)))), "\n")
     out = joined.withColumn("text", F.when(F.col(cut).isNotNull(), left).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
