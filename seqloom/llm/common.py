@@ -35,7 +35,17 @@ def materialize(df: DataFrame, name: str, sort: list[str] | None = None, **optio
     path = scratch_path(df.sparkSession, name)
     out = df.sortWithinPartitions(*sort) if sort else df
     out.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` from which nothing is read any more: all that came of them is written."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.scratch)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def fresh(docs: DataFrame, *names: str) -> list[str]:
