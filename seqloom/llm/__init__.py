@@ -1,4 +1,4 @@
-"""Training-data operators: ten Spark jobs over ``documents``-shaped tables.
+"""Training-data operators: Spark jobs over ``documents``-shaped tables.
 
 Nothing outside this subpackage imports it.  Every operator takes and returns
 DataFrames; intermediate tables go to the shared folder of ``spark.checkpoint.dir``.

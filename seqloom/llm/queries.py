@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import bpe, exact_dedup, fuzzy_lines, lm_scoring, mixing, quality, rlz, simhash, suffix_dedup, token_counts
+from seqloom.llm import bpe, decontamination, exact_dedup, fuzzy_lines, lm_scoring, mixing, quality, rlz, simhash, suffix_dedup, token_alignment, token_counts, va_clusters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,18 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(docs, lm_scoring.train(docs))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_va_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_clusters.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=40, rounds=5, dim=64)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.token_alignment(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
@@ -74,6 +86,9 @@ def queries() -> dict[str, Query]:
         "op8_fuzzy_lines": op8_fuzzy_lines,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_decontamination": op11_decontamination,
+        "op12_va_clusters": op12_va_clusters,
+        "op13_token_alignment": op13_token_alignment,
     }
 
 
@@ -197,5 +212,58 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 
+#: Windows of ten words of the items, and of all words of shorter ones, against windows of as many words of the documents.
+OP11_SQL = r"""
+WITH item AS (
+  SELECT item_id::VARCHAR AS item, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, list_aggregate(list_slice(w, i, i + 9), 'string_agg', ' ') AS g, least(len(w), 10) AS n
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM item WHERE len(w) > 0)),
+doc AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+spot AS (
+  SELECT doc_id, i, n, list_aggregate(list_slice(w, i, i + n - 1), 'string_agg', ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM win))),
+hit AS (SELECT doc_id, i, n, item FROM spot JOIN win USING (g, n)),
+place AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, range(10) AS r(k) WHERE k < n GROUP BY doc_id),
+names AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS t FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(t, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc LEFT JOIN place USING (doc_id) LEFT JOIN names USING (doc_id)
+"""
+
+
+def _op12_sql(rounds: int = 5) -> str:
+    """Each round is a step of its own, as a recursive one may not hold the aggregations."""
+    steps = [
+        """WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1)::INT AS cluster, v AS c FROM kept ORDER BY sha256('2:' || vec_id) LIMIT 40)"""
+    ]
+    far = "list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT vec_id, v, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance
+  FROM (SELECT vec_id, v, cluster, {far} AS d FROM kept, c{i}) GROUP BY vec_id, v)""")
+        if i < rounds:
+            mean = "((s - ((s % n) + n) % n) // n)"
+            steps.append(f"""m{i} AS (
+  SELECT cluster, list({mean}::BIGINT ORDER BY d) AS c
+  FROM (SELECT cluster, d, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS d FROM a{i}) GROUP BY ALL) GROUP BY cluster),
+c{i + 1} AS MATERIALIZED (SELECT cluster, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (cluster))""")
+    last = f"a{rounds}"
+    return ",\n".join(steps) + f"""
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+  sha256(list_aggregate(c, 'string_agg', ',')) AS centroid_sha256
+FROM {last} JOIN c{rounds} USING (cluster)"""
+
+
+OP12_SQL = _op12_sql()
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3_SQL, "op2_suffix_array_dedup": OP2_SQL, "op6_substring_dedup": OP6_SQL, "op7_quality_rules": OP7_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op3_mixing": OP3_SQL, "op2_suffix_array_dedup": OP2_SQL, "op6_substring_dedup": OP6_SQL, "op7_quality_rules": OP7_SQL, "op9_exact_dedup": OP9_SQL, "op11_decontamination": OP11_SQL, "op12_va_clusters": OP12_SQL}
