@@ -18,6 +18,7 @@ def _schema(columns: str, **other: DataType) -> StructType:
 
 
 SEQUENCES = _schema("id string, description string, sequence string, length int")
+REJECTS = _schema("path string, last_line long, description string, reason string")
 CHUNKS = _schema("chunk_id string, sequence_id string, description string, sequence string, length int, content_hash string")
 HITS_RAW = _schema(
     "qseqid string, sseqid string, pident double, length int, mismatch int, gapopen int, "

@@ -12,9 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.operators.merge import limit_targets
+from seqloom.sources.scratch import materialize
 
 #: Letters of the blocks of a sequence that is cut into seeds: first long ones, then short ones.
 BLOCKS = (4096, 64)
+#: Places of the references from which on a seed is met by runs, not place by place; references' places in one share of such a join.
+OFTEN, SHARE = 64, 4096
+#: Stands for "the seed next to this one is met place by place, or is none".
+_OPEN = 0
 #: Residues with like chemistry share a letter in the reduced alphabet.
 GROUPS = ["AGPST", "C", "DENQ", "FWY", "HKR", "ILMV"]
 
@@ -41,16 +46,25 @@ def reduce_alphabet(sequence: Column) -> Column:
     return F.translate(sequence, "".join(GROUPS), "".join(g[0] * len(g) for g in GROUPS))
 
 
-def seeds(sequences: DataFrame, k: int, reduced: bool = False) -> DataFrame:
-    """(id, pos, seed): every k letters, from position 1."""
+def _places(sequences: DataFrame, k: int, reduced: bool) -> DataFrame:
+    """(id, pos, seed, before, after): every k letters, from position 1, with the letters next to them ('' at an end)."""
     letters = reduce_alphabet(F.col("sequence")) if reduced else F.col("sequence")
-    parts = sequences.select("id", F.lit(0).alias("off"), letters.alias("s")).where(F.length("s") >= k)
+    # With a blank at either end every seed has a letter on both sides.
+    parts = sequences.where(F.length("sequence") >= k).select("id", F.lit(0).alias("off"), F.concat(F.lit(" "), letters, F.lit(" ")).alias("s"))
+    wide = k + 2
     # Blocks first: finding a place in a string takes time in proportion to the place, and a row is copied for each seed.
     for size in BLOCKS:
-        blocks = parts.select("id", "off", "s", F.explode(F.sequence(F.lit(0), F.floor((F.length("s") - k) / size).cast("int"))).alias("b"))
-        parts = blocks.select("id", (F.col("off") + F.col("b") * size).alias("off"), F.substring("s", F.col("b") * size + 1, F.lit(size + k - 1)).alias("s"))
-    at = parts.select("id", "off", "s", F.explode(F.sequence(F.lit(1), F.length("s") - (k - 1))).alias("at"))
-    return at.select("id", (F.col("off") + F.col("at")).alias("pos"), F.substring("s", F.col("at"), F.lit(k)).alias("seed"))
+        blocks = parts.select("id", "off", "s", F.explode(F.sequence(F.lit(0), F.floor((F.length("s") - wide) / size).cast("int"))).alias("b"))
+        parts = blocks.select("id", (F.col("off") + F.col("b") * size).alias("off"), F.substring("s", F.col("b") * size + 1, F.lit(size + wide - 1)).alias("s"))
+    at = parts.select("id", "off", "s", F.explode(F.sequence(F.lit(1), F.length("s") - (wide - 1))).alias("at"))
+    cut = at.select("id", (F.col("off") + F.col("at")).alias("pos"), F.substring("s", F.col("at"), F.lit(wide)).alias("w"))
+    edge = lambda n: F.rtrim(F.substring("w", n, 1))
+    return cut.select("id", "pos", F.substring("w", 2, k).alias("seed"), edge(1).alias("before"), edge(wide).alias("after"))
+
+
+def seeds(sequences: DataFrame, k: int, reduced: bool = False) -> DataFrame:
+    """(id, pos, seed, before, after): every k letters, from position 1, and the letters ahead of and behind them ('' at an end)."""
+    return _places(sequences, k, reduced)
 
 
 def build_seed_index(refs: DataFrame, k: int, reduced: bool = False, path: str | None = None) -> DataFrame:
@@ -68,13 +82,69 @@ def mask_frequent_seeds(index: DataFrame, max_df: int) -> DataFrame:
     return index.join(often.select("seed"), "seed", "left_anti")
 
 
-def seed_join(queries: DataFrame, index: DataFrame, k: int, min_seeds: int, reduced: bool = False) -> DataFrame:
-    """(query_id, subject_id, diagonal, n_seeds): pairs with ``min_seeds`` common seeds on a diagonal."""
+def _hashed(places: DataFrame, k: int) -> DataFrame:
+    """Places with 64-bit hashes of the seed and of the seeds one place to the left and to the right (null at an end)."""
+    near = lambda letter, seed: F.when(F.col(letter) != "", F.xxhash64(seed))
+    return places.select(
+        "id", "pos", F.xxhash64("seed").alias("seed"), near("before", F.concat("before", F.substring("seed", 1, k - 1))).alias("left"), near("after", F.concat(F.substring("seed", 2, k - 1), "after")).alias("right")
+    )
+
+
+def _tagged(rows: DataFrame, often: DataFrame) -> DataFrame:
+    """Rows of seeds that stand often, with the seed to either side only where it stands often, too; else ``_OPEN``."""
+    out = rows.join(often.select("seed"), "seed", "left_semi")
+    for side in ("left", "right"):
+        known = often.select(F.col("seed").alias(side), F.lit(True).alias("known"))
+        out = out.join(known, side, "left").withColumn(side, F.when(F.col("known"), F.col(side)).otherwise(F.lit(_OPEN))).drop("known")
+    return out
+
+
+def _run_ends(q: DataFrame, s: DataFrame, side: str, share: int) -> DataFrame:
+    """(query_id, subject_id, qpos, diagonal) of pairs of places with one seed that are not followed, on ``side``, by another such pair.
+
+    Two places with one seed have the same seed next to them only if the letter there is the same, so a query's place meets
+    just the references' places whose next seed differs; these are found by an equi-join on (seed, next seed), as a
+    seed has few next seeds, one a letter.  Pairs inside a run are never made.  References' places of
+    one key are dealt to shares of about ``share`` places, and queries' places are copied for each.
+    """
+    tags = s.groupBy("seed", F.col(side).alias("tag")).agg(F.count("*").alias("n"))
+    shares = F.ceil(F.col("n") / share).cast("int")
+    facing = tags.groupBy("seed").agg(F.collect_list(F.struct("tag", shares.alias("shares"))).alias("tags"))
+    differs = lambda t: (t["tag"] == _OPEN) | (t["tag"] != F.col(side))
+    wanted = q.join(facing, "seed").select("query_id", "qpos", "seed", F.explode(F.filter("tags", differs)).alias("t"))
+    wanted = wanted.select("query_id", "qpos", "seed", F.col("t.tag").alias("tag"), F.explode(F.sequence(F.lit(1), F.col("t.shares"))).alias("part"))
+    dealt = s.join(tags.select("seed", F.col("tag").alias(side), shares.alias("shares")), ["seed", side]).select(
+        "subject_id", "spos", "seed", F.col(side).alias("tag"), (F.pmod(F.xxhash64("subject_id", "spos"), F.col("shares")) + 1).cast("int").alias("part")
+    )
+    return wanted.join(dealt, ["seed", "tag", "part"]).select("query_id", "subject_id", "qpos", (F.col("qpos") - F.col("spos")).alias("diagonal"))
+
+
+def seed_matches(queries: DataFrame, index: DataFrame, k: int, reduced: bool = False, often: int = OFTEN, share: int = SHARE) -> DataFrame:
+    """(query_id, subject_id, diagonal, n), whose sums of n are the numbers of common seeds on a diagonal.
+
+    A seed at fewer than ``often`` places of the index gives a row for each pair of places.  A more frequent one is lengthened: along a diagonal such
+    seeds make runs, and only a run's two ends give a row, 1 - first place and last place, whatever its
+    length.  So a repeat that all sequences share costs a few rows a pair of sequences, not one a letter.
+    """
     # Seeds meet by a 64-bit hash, which is less to shuffle and to compare than letters.
-    q = seeds(queries, k, reduced).select(F.col("id").alias("query_id"), F.col("pos").alias("qpos"), F.xxhash64("seed").alias("seed"))
-    s = index.select(F.col("id").alias("subject_id"), F.col("pos").alias("spos"), F.xxhash64("seed").alias("seed"))
-    pairs = q.join(s, "seed").groupBy("query_id", "subject_id", (F.col("qpos") - F.col("spos")).alias("diagonal"))
-    return pairs.agg(F.count("*").alias("n_seeds")).where(F.col("n_seeds") >= min_seeds)
+    s = _hashed(index, k).withColumnsRenamed({"id": "subject_id", "pos": "spos"})
+    q = _hashed(seeds(queries, k, reduced), k).withColumnsRenamed({"id": "query_id", "pos": "qpos"})
+    frequent = materialize(s.groupBy("seed").agg(F.count("*").alias("n")).where(F.col("n") >= often), "frequent-seeds")
+    one = F.lit(1).cast("long").alias("n")
+    diagonal = (F.col("qpos") - F.col("spos")).alias("diagonal")
+    if frequent.isEmpty():
+        return q.select("query_id", "qpos", "seed").join(s.select("subject_id", "spos", "seed"), "seed").select("query_id", "subject_id", diagonal, one)
+    rare = q.select("query_id", "qpos", "seed").join(s.join(frequent, "seed", "left_anti").select("subject_id", "spos", "seed"), "seed").select("query_id", "subject_id", diagonal, one)
+    fq, fs = materialize(_tagged(q, frequent), "query-seeds"), materialize(_tagged(s, frequent), "reference-seeds")
+    begins = _run_ends(fq, fs, "left", share).select("query_id", "subject_id", "diagonal", (F.lit(1) - F.col("qpos")).cast("long").alias("n"))
+    ends = _run_ends(fq, fs, "right", share).select("query_id", "subject_id", "diagonal", F.col("qpos").cast("long").alias("n"))
+    return rare.unionByName(begins).unionByName(ends)
+
+
+def seed_join(queries: DataFrame, index: DataFrame, k: int, min_seeds: int, reduced: bool = False, often: int = OFTEN) -> DataFrame:
+    """(query_id, subject_id, diagonal, n_seeds): pairs with ``min_seeds`` common seeds on a diagonal; see ``seed_matches``."""
+    matches = seed_matches(queries, index, k, reduced, often)
+    return matches.groupBy("query_id", "subject_id", "diagonal").agg(F.sum("n").alias("n_seeds")).where(F.col("n_seeds") >= min_seeds)
 
 
 def rule_scores(same: int = 5, alike: int = 1, other: int = -2) -> dict[tuple[str, str], int]:

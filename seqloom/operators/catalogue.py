@@ -28,8 +28,8 @@ def register(entries: DataFrame, path: str) -> None:
 
 
 def lineage_edges(edges: DataFrame) -> DataFrame:
-    """(child_id, parent_id, relationship), each child and parent once."""
-    return edges.dropDuplicates(["child_id", "parent_id"])
+    """(child_id, parent_id, relationship), each child and parent once; of several relationships the first by name stays."""
+    return edges.groupBy("child_id", "parent_id").agg(F.min("relationship").alias("relationship"))
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:
@@ -81,9 +81,25 @@ def row_provenance(chunks: DataFrame, merged: DataFrame, features: DataFrame) ->
     return out.select("sequence_id", "chunk_id", F.coalesce("n_hits", F.lit(0)).alias("n_hits"), "ref_chunks", F.coalesce("has_features", F.lit(False)).alias("has_features"))
 
 
+def all_descendants(edges: DataFrame, start: str) -> DataFrame:
+    """(dataset_id) of every dataset that comes from ``start``, over any number of steps, each once; ``start`` only if it comes from itself.
+
+    Each round joins the edges only with what the round before found first, and what is known already is left out; so
+    a cycle ends, and a dataset that many paths reach is followed once.  Every round's finds are written.
+    """
+    step = edges.select("parent_id", "child_id").distinct()
+    now = materialize(step.where(F.col("parent_id") == start).select(F.col("child_id").alias("dataset_id")).distinct(), "reached")
+    known = now
+    while not now.isEmpty():
+        met = now.join(step, F.col("dataset_id") == F.col("parent_id")).select(F.col("child_id").alias("dataset_id")).distinct()
+        now = materialize(met.join(known, "dataset_id", "left_anti"), "reached")
+        known = known.unionByName(now)
+    return known
+
+
 def runs_using(runs: DataFrame, datasets: DataFrame, edges: DataFrame, reference_id: str) -> DataFrame:
-    """Runs that made a dataset whose direct parent is ``reference_id``."""
-    made = edges.where(F.col("parent_id") == reference_id).select(F.col("child_id").alias("dataset_id"))
+    """Runs that made a dataset which comes from ``reference_id``, directly or through other datasets."""
+    made = all_descendants(edges, reference_id)
     by = datasets.join(made, "dataset_id", "left_semi").select(F.col("created_by_run").alias("run_id")).distinct()
     return latest_runs(runs).join(by, "run_id", "left_semi")
 

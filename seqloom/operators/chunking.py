@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.contracts import CHUNKS
 from seqloom.functions.scalar import assign_chunk, chunk_name, content_hash, package_id
-from seqloom.sources.scratch import materialize
+from seqloom.sources.layout import ROWS, numbered
 
 
 def chunk_sequences(sequences: DataFrame, num_chunks: int, prefix: str = "chunk_") -> DataFrame:
@@ -50,28 +50,32 @@ def build_manifest(chunks: DataFrame, num_chunks: int, run_id: str, input_files:
     )
 
 
-def chunk_sequential(sequences: DataFrame, chunk_size: int, order: list[str], prefix: str = "chunk_", parts: int = 64) -> DataFrame:
-    """Chunks of exactly ``chunk_size`` rows in ``order``.
+def chunk_sequential(sequences: DataFrame, chunk_size: int, order: list[str], prefix: str = "chunk_", rows_per_task: int = ROWS) -> DataFrame:
+    """Chunks of exactly ``chunk_size`` rows in ``order``; see ``numbered``: no window runs over rows, no task has over ``rows_per_task`` or so."""
+    index = numbered(sequences, order, "_index", rows_per_task)
+    return index.withColumn("chunk_id", chunk_name(F.floor(F.col("_index") / chunk_size), prefix)).drop("_index")
 
-    Rows are numbered in two steps: each range of the order counts its own rows, and the counts
-    before it are added.  No window runs over all rows.
+
+def _contents(rows: DataFrame, id_column: str, content: Column, n: str) -> DataFrame:
+    """(id, number of rows, fingerprint of the set of contents) of each id.
+
+    Rows are counted by id and content first, so a hot id is combined by every task and its contents meet in many
+    tasks; the fingerprint adds and xors hashes of different contents, so it needs no list of them.
     """
-    ranged = sequences.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    # Written once: bounds of ranges are sampled anew each time they are worked out.
-    local = materialize(ranged.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(*order))), "ranged")
-    counts = local.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    index = (F.col("_row") - 1 + F.col("_before")).cast("long")
-    numbered = local.join(before.select("_part", "_before"), "_part").withColumn("_index", index)
-    return numbered.withColumn("chunk_id", chunk_name(F.floor(F.col("_index") / chunk_size), prefix)).drop("_part", "_row", "_before", "_index")
+    each = rows.select(F.col(id_column).alias("id"), content.alias("content")).groupBy("id", "content").agg(F.count("*").alias("c"))
+    wide = F.sum(F.xxhash64(F.lit(1), "content").cast("decimal(38,0)"))
+    return each.groupBy("id").agg(F.sum("c").alias(n), F.struct(F.count("*").alias("n"), F.bit_xor(F.xxhash64("content")).alias("x"), wide.alias("s")).alias(f"{n}_set"))
 
 
 def verify_round_trip(source: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(id, problem) for each sequence that was lost, added, changed or has another number of copies; no rows if all is well."""
-    a = source.groupBy("id").agg(F.count("*").alias("n"), F.sort_array(F.collect_set(content_hash(F.col("sequence")))).alias("h"))
-    b = chunks.groupBy(F.col("sequence_id").alias("id")).agg(F.count("*").alias("m"), F.sort_array(F.collect_set("content_hash")).alias("g"))
+    """(id, problem) for each sequence that was lost, added, changed or has another number of copies; no rows if all is well.
+
+    Contents of an id are compared as sets, by two 64-bit hashes.
+    """
+    a = _contents(source, "id", content_hash(F.col("sequence")), "n")
+    b = _contents(chunks, "sequence_id", F.col("content_hash"), "m")
     problem = (
-        F.when(F.col("m").isNull(), "lost").when(F.col("n").isNull(), "added").when(F.col("h") != F.col("g"), "changed").when(F.col("n") != F.col("m"), "copies")
+        F.when(F.col("m").isNull(), "lost").when(F.col("n").isNull(), "added").when(F.col("n_set") != F.col("m_set"), "changed").when(F.col("n") != F.col("m"), "copies")
     )
     return a.join(b, "id", "full_outer").select("id", problem.alias("problem")).where("problem IS NOT NULL")
 

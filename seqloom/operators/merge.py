@@ -80,6 +80,17 @@ def merge_stats(hits: DataFrame, top_n: int = 50) -> DataFrame:
 
 
 def limit_targets(hits: DataFrame, max_target_seqs: int = 50) -> DataFrame:
-    """At most so many subjects for each query and reference chunk."""
-    w = Window.partitionBy("query_id", "ref_chunk_id").orderBy(*_best("subject_id", *_TIES[1:3]))
-    return hits.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= max_target_seqs).drop("_n")
+    """All hits of at most ``max_target_seqs`` subjects for each query and reference chunk.
+
+    A subject stands where its best hit does, so many hits of one never displace another.  The best hits are an
+    aggregation, combined ahead of its shuffle, and only a row a subject is ranked, with a group limit
+    ahead of the window's shuffle.
+    """
+    keys = ["query_id", "ref_chunk_id"]
+    # Nulls count as worst, as in the merged order.
+    place = F.struct(F.col("evalue").isNull().alias("no_evalue"), "evalue", F.col("bitscore").isNull().alias("no_bitscore"), (-F.col("bitscore")).alias("minus_bitscore"))
+    best = hits.groupBy(*keys, "subject_id").agg(F.min(place).alias("_best"))
+    w = Window.partitionBy(*keys).orderBy("_best", "subject_id")
+    kept = best.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= max_target_seqs).select(*[F.col(c).alias(f"_{c}") for c in (*keys, "subject_id")])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*keys, "subject_id")]
+    return hits.join(kept, same, "left_semi")

@@ -83,9 +83,19 @@ def c13_significant_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.significant(B.hits(spark, sf_dir), 20000)
 
 
-@query(f"SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY query_id, ref_chunk_id ORDER BY {_ORDER}, subject_id, query_start, subject_start) AS n FROM ({_hits_sql()})) WHERE n <= 5")
+def _limited_sql(hits: str, n: int) -> str:
+    """All hits of the best ``n`` subjects of each query and reference chunk."""
+    return f"""SELECT h.* FROM ({hits}) h SEMI JOIN (
+      SELECT query_id, ref_chunk_id, subject_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id, ref_chunk_id ORDER BY {_ORDER}, subject_id) AS n FROM (
+          SELECT * FROM (SELECT query_id, ref_chunk_id, subject_id, evalue, bitscore, row_number() OVER (PARTITION BY query_id, ref_chunk_id, subject_id ORDER BY {_ORDER}) AS k FROM ({hits})) WHERE k = 1)) WHERE n <= {n}) b
+    USING (query_id, ref_chunk_id, subject_id)"""
+
+
+@query(_limited_sql(_hits_sql(subject="(l_partkey % 7)"), 3))
 def a6_limit_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.limit_targets(B.hits(spark, sf_dir), 5)
+    """Seven subjects with many hits each, of which three stay with all their hits."""
+    return M.limit_targets(B.hits(spark, sf_dir, subject="(l_partkey % 7)"), 3)
 
 
 @query(f"SELECT query_id, subject_id, evalue FROM ({_merged_sql()}) WHERE global_rank = 1 ORDER BY evalue, query_id LIMIT 5")
@@ -174,10 +184,16 @@ def k3_sequential_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.chunk_sequential(B.documents(spark, sf_dir), 100, ["id"]).select("id", "chunk_id")
 
 
-@query(f"SELECT id, 'lost' AS problem FROM ({_DOCS}) WHERE id IN (SELECT doc_id::VARCHAR FROM labels)")
+@query(
+    f"SELECT id, CASE WHEN id IN (SELECT doc_id::VARCHAR FROM labels) THEN 'lost' WHEN id::BIGINT % 7 = 3 THEN 'changed' ELSE 'copies' END AS problem FROM ({_DOCS}) "
+    f"WHERE id IN (SELECT doc_id::VARCHAR FROM labels) OR id::BIGINT % 7 = 3 OR id::BIGINT % 11 = 5 UNION ALL SELECT 'b' || id, 'added' FROM ({_BENCH})"
+)
 def k4_round_trip_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks of the older version against all documents: what was added since is reported as lost."""
-    return K.verify_round_trip(B.documents(spark, sf_dir), K.chunk_sequences(_old(spark, sf_dir), 7))
+    """All documents against chunks of an older version, with some sequences changed, some doubled, and the benchmark among them."""
+    n = F.col("id").cast("long")
+    old = _old(spark, sf_dir).withColumn("sequence", F.when(n % 7 == 3, F.concat("sequence", F.lit("A"))).otherwise(F.col("sequence")))
+    other = B.benchmark(spark, sf_dir).withColumn("id", F.concat(F.lit("b"), "id"))
+    return K.verify_round_trip(B.documents(spark, sf_dir), K.chunk_sequences(old.unionByName(old.where(n % 11 == 5)).unionByName(other), 7))
 
 
 @query(f"SELECT count(*) AS chunks, min(num_sequences) AS min_rows, max(num_sequences) AS max_rows, round(avg(num_sequences), 6) AS mean_rows, round(stddev_pop(num_sequences), 6) AS std_rows FROM ({_entries_sql()})")
@@ -210,9 +226,14 @@ _PACKAGES = f"""SELECT 'wp_' || event_id AS package_id, 'q' || (user_id % 10) AS
   CASE WHEN event_id % 5 = 0 THEN NULL ELSE ts END AS heartbeat_at, (event_id % 3)::INT AS attempt, 3 AS max_attempts, event_type, value AS duration_s, ts FROM events"""
 
 
-@query(f"SELECT package_id, query_chunk_id, ref_chunk_id, 'PENDING' AS state, 0 AS attempt FROM ({_PACKAGES}) p WHERE state <> 'COMPLETED' AND NOT EXISTS (SELECT 1 FROM ({_PACKAGES}) d WHERE d.state = 'COMPLETED' AND d.query_chunk_id = p.query_chunk_id AND d.ref_chunk_id = p.ref_chunk_id)")
+#: Packages with a query chunk for each user, so that many pairs have none that is completed.
+_FINE = _PACKAGES.replace("'q' || (user_id % 10)", "'q' || user_id")
+
+
+@query(f"SELECT package_id, query_chunk_id, ref_chunk_id, 'PENDING' AS state, 0 AS attempt FROM ({_FINE}) p WHERE state <> 'COMPLETED' AND NOT EXISTS (SELECT 1 FROM ({_FINE}) d WHERE d.state = 'COMPLETED' AND d.query_chunk_id = p.query_chunk_id AND d.ref_chunk_id = p.ref_chunk_id)")
 def k9_pairs_to_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.pairs_to_resume(B.packages(spark, sf_dir)).select("package_id", "query_chunk_id", "ref_chunk_id", "state", "attempt")
+    packages = B.packages(spark, sf_dir).withColumn("query_chunk_id", F.expr("concat('q', substring(claimed_by, 2))"))
+    return K.pairs_to_resume(packages).select("package_id", "query_chunk_id", "ref_chunk_id", "state", "attempt")
 
 
 @query(f"SELECT DISTINCT q.query_chunk_id, r.ref_chunk_id FROM (SELECT DISTINCT 'q' || l_suppkey % 4 AS query_chunk_id FROM lineitem) q CROSS JOIN (SELECT DISTINCT 'r' || o_custkey % 9 AS ref_chunk_id FROM orders) r WHERE (q.query_chunk_id, r.ref_chunk_id) NOT IN (SELECT (query_chunk_id, ref_chunk_id) FROM ({_hits_sql()}))")
@@ -280,10 +301,23 @@ def a3_seed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.seed_join(B.documents(spark, sf_dir), A.seeds(B.benchmark(spark, sf_dir), 12), 12, 8)
 
 
-_SEEDED = f"SELECT q.id AS query_id, s.id AS subject_id, (q.pos - s.pos)::INT AS diagonal FROM ({_seeds_sql(_DOCS, 16)}) q JOIN ({_seeds_sql(_BENCH, 16)}) s USING (seed) GROUP BY ALL HAVING count(*) >= 8"
+@query(f"SELECT q.id AS query_id, s.id AS subject_id, (q.pos - s.pos)::INT AS diagonal, count(*) AS n_seeds FROM ({_seeds_sql(_DOCS, 8)}) q JOIN ({_seeds_sql(_BENCH, 8)}) s USING (seed) GROUP BY ALL HAVING count(*) >= 6")
+def a3_frequent_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short seeds, of which those at four or more places of the references are met by runs."""
+    return A.seed_join(B.documents(spark, sf_dir), A.seeds(B.benchmark(spark, sf_dir), 8), 8, 6, often=4)
+
+
+#: Letters of one group as its first one.
+_REDUCED = "translate(sequence, 'AGPSTCDENQFWYHKRILMV', 'AAAAACDDDDFFFHHHIIII')"
 #: Two letters score 5 if equal, 1 if in one group, else -2; letters that are no residue -2.
 _POINTS = "CASE WHEN NOT contains('ACDEFGHIKLMNPQRSTVWY', a) OR NOT contains('ACDEFGHIKLMNPQRSTVWY', b) THEN -2 WHEN a = b THEN 5 WHEN translate(a, 'AGPSTCDENQFWYHKRILMV', 'AAAAACDDDDFFFHHHIIII') = translate(b, 'AGPSTCDENQFWYHKRILMV', 'AAAAACDDDDFFFHHHIIII') THEN 1 ELSE -2 END"
-_ALIGN = f"""WITH c AS (SELECT c.*, q.sequence AS qs, s.sequence AS ss, greatest(0, -diagonal) AS b0 FROM ({_SEEDED}) c JOIN ({_DOCS}) q ON q.id = query_id JOIN ({_BENCH}) s ON s.id = subject_id),
+
+
+def _align_sql(queries: str, k: int, min_seeds: int, reduced: bool = False, limit: int = 50) -> str:
+    """Hits of sequences against the benchmark: diagonals with enough seeds, the best stretch of each, and the best subjects."""
+    letters = lambda source: f"SELECT id, {_REDUCED} AS sequence FROM ({source})" if reduced else source
+    seeded = f"SELECT q.id AS query_id, s.id AS subject_id, (q.pos - s.pos)::INT AS diagonal FROM ({_seeds_sql(letters(queries), k)}) q JOIN ({_seeds_sql(letters(_BENCH), k)}) s USING (seed) GROUP BY ALL HAVING count(*) >= {min_seeds}"
+    return f"""WITH c AS (SELECT c.*, q.sequence AS qs, s.sequence AS ss, greatest(0, -diagonal) AS b0 FROM ({seeded}) c JOIN ({queries}) q ON q.id = query_id JOIN ({_BENCH}) s ON s.id = subject_id),
 col AS (SELECT query_id, subject_id, diagonal, b0, length(qs) AS m, unnest(range(1, least(length(ss) - b0, length(qs) - b0 - diagonal) + 1)) AS i, qs, ss FROM c),
 pt AS (SELECT query_id, subject_id, diagonal, b0, m, i, a = b AS same, {_POINTS} AS p FROM (SELECT *, qs[b0 + diagonal + i] AS a, ss[b0 + i] AS b FROM col)),
 pre AS (SELECT *, sum(p) OVER w AS total FROM pt WINDOW w AS (PARTITION BY query_id, subject_id, diagonal ORDER BY i)),
@@ -291,21 +325,40 @@ low AS (SELECT *, arg_min(i - 1, (total - p, -i)) OVER w AS begun, min(total - p
 best AS (SELECT query_id, subject_id, diagonal, any_value(b0) AS b0, any_value(m) AS m, max(total - least) AS score, arg_min(i, (least - total, i)) AS hi, arg_min(begun, (least - total, i)) AS lo FROM low GROUP BY ALL HAVING max(total - least) > 0),
 same AS (SELECT query_id, subject_id, diagonal, count(*) FILTER (WHERE same) AS n FROM pt JOIN best b USING (query_id, subject_id, diagonal) WHERE i > lo AND i <= hi GROUP BY ALL),
 bits AS (SELECT *, (0.3176 * score - ln(0.134)) / ln(2.0) AS bitscore FROM best JOIN same USING (query_id, subject_id, diagonal)),
-hit AS (SELECT *, m * (SELECT sum(length(sequence)) FROM ({_BENCH})) * pow(2.0, -bitscore) AS evalue FROM bits)
+hit AS (SELECT * FROM (SELECT *, m * (SELECT sum(length(sequence)) FROM ({_BENCH})) * pow(2.0, -bitscore) AS evalue FROM bits) WHERE evalue <= 10),
+top AS (SELECT query_id, subject_id, row_number() OVER (PARTITION BY query_id ORDER BY e, b DESC, subject_id) AS place FROM (SELECT query_id, subject_id, min(evalue) AS e, max(bitscore) AS b FROM hit GROUP BY ALL))
 SELECT query_id, subject_id, (hi - lo)::INT AS alignment_length, (hi - lo - n)::INT AS mismatches, (b0 + diagonal + lo + 1)::INT AS query_start, (b0 + lo + 1)::INT AS subject_start, score::INT AS score,
-  round(100.0 * n / (hi - lo), 6) AS percent_identity, round(bitscore, 4) AS bitscore, round(log10(evalue + 1e-300), 4) AS log_evalue FROM hit WHERE evalue <= 10"""
+  round(100.0 * n / (hi - lo), 6) AS percent_identity, round(bitscore, 4) AS bitscore, round(log10(evalue + 1e-300), 4) AS log_evalue FROM hit JOIN top USING (query_id, subject_id) WHERE place <= {limit}"""
 
 
-@query(_ALIGN)
-def a3_a7_align(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents against all benchmark items, with seeds of 16 letters and eight of them on a diagonal."""
-    hits = A.align(B.documents(spark, sf_dir), B.benchmark(spark, sf_dir), A.Sensitivity(16, False, 8))
+def _aligned(hits: DataFrame) -> DataFrame:
     return hits.select(
         "query_id", "subject_id", "alignment_length", "mismatches", "query_start", "subject_start", "score", F.round("percent_identity", 6).alias("percent_identity"),
         F.round("bitscore", 4).alias("bitscore"), F.round(F.log10(F.col("evalue") + 1e-300), 4).alias("log_evalue"),
     )
 
 
+def _register_presets() -> None:
+    """A query for each preset of sensitivity: all benchmark items against each other, ten subjects each."""
+    for name, p in A.PRESETS.items():
+
+        def preset(spark: SparkSession, sf_dir: str, name: str = name) -> DataFrame:
+            items = B.benchmark(spark, sf_dir)
+            return _aligned(A.align(items, items, name, max_target_seqs=10))
+
+        preset.__name__ = f"a7_{name.replace('-', '_')}"
+        query(_align_sql(_BENCH, p.k, p.min_seeds, p.reduced, 10))(preset)
+
+
+_register_presets()
+
+
+@query(_align_sql(_DOCS, 16, 8))
+def a3_a7_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items, with seeds of 16 letters and eight of them on a diagonal."""
+    return _aligned(A.align(B.documents(spark, sf_dir), B.benchmark(spark, sf_dir), A.Sensitivity(16, False, 8)))
+
+
 # --- taxonomy and features ----------------------------------------------------------------------
 
 _KEY = {"query": "l_partkey", "subject": "l_suppkey"}
@@ -366,11 +419,13 @@ def f1_f11_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features(spark, sf_dir).withColumns({c: F.round(c, 5) for c in _DOUBLES})
 
 
-@query("SELECT doc_id::VARCHAR AS sequence_id, vec_id IS NOT NULL AS has_vector FROM documents LEFT JOIN embeddings ON vec_id = doc_id")
+@query("SELECT doc_id::VARCHAR AS sequence_id, vec_id IS NOT NULL AS has_vector, list_aggregate(list_transform(embedding, lambda x: floor(x::DOUBLE * 1000)::INT::VARCHAR), 'string_agg', ' ') AS vector FROM documents LEFT JOIN embeddings ON vec_id = doc_id")
 def f12_s17_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's vector, its values in thousandths."""
     vectors = TB.scan_embeddings(spark, f"{sf_dir}/embeddings.parquet", 64, "vec_id")
     docs = B.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("sequence_id"))
-    return X.join_embeddings(docs, vectors, 64).select("sequence_id", F.col("embedding").isNotNull().alias("has_vector"))
+    values = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000).cast("string"))
+    return X.join_embeddings(docs, vectors, 64).select("sequence_id", F.col("embedding").isNotNull().alias("has_vector"), F.array_join(values, " ").alias("vector"))
 
 
 @query(f"SELECT sequence_id, hit_count, 'v1' AS feature_version, 'run_1' AS run_id FROM ({_FEATURES})")
@@ -401,13 +456,23 @@ def f16_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT taxon_id, parent_id, rank, name FROM (SELECT 1000 + s_suppkey AS taxon_id, 100 + s_nationkey AS parent_id, 'species' AS rank, s_name AS name FROM supplier UNION ALL SELECT 100 + n_nationkey, 10 + n_regionkey, 'phylum', n_name FROM nation UNION ALL SELECT 10 + r_regionkey, 1, 'kingdom', r_name FROM region UNION ALL SELECT 1, 1, 'no rank', 'root')")
 def s16_taxdump(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The taxonomy is written in dump format and scanned again."""
+    tree, named, _ = _scanned_dump(spark, sf_dir)
+    return tree.join(named, "taxon_id")
+
+
+@query("SELECT s_suppkey::VARCHAR AS accession, 1000 + s_suppkey AS taxon_id FROM supplier")
+def s16_accessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dump's accession map, from a gzip file."""
+    return _scanned_dump(spark, sf_dir)[2]
+
+
+def _scanned_dump(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     nodes, names, accessions = B.taxonomy(spark, sf_dir)
     paths = [scratch_path(spark, n) for n in ("nodes", "names", "accessions")]
     nodes.selectExpr("concat(taxon_id, '\t|\t', parent_id, '\t|\t', rank, '\t|')").write.text(paths[0])
     names.selectExpr("concat(taxon_id, '\t|\t', name, '\t|\t\t|\tscientific name\t|')").write.text(paths[1])
     accessions.selectExpr("accession", "concat(accession, '.1') AS `accession.version`", "taxon_id AS taxid", "'0' AS gi").write.option("sep", "\t").option("header", True).option("compression", "gzip").csv(paths[2])
-    tree, named, _ = TB.scan_taxdump(spark, *paths)
-    return tree.join(named, "taxon_id")
+    return TB.scan_taxdump(spark, *paths)
 
 
 # --- catalogue ------------------------------------------------------------------------------------
@@ -432,10 +497,12 @@ def l1_register_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("dataset_id", "row_count")
 
 
-@query(f"SELECT DISTINCT * FROM ({_EDGES})")
+@query(f"SELECT child_id, parent_id, CASE WHEN child_id LIKE 'c%' THEN 'a_' || relationship ELSE relationship END AS relationship FROM ({_EDGES}) GROUP BY ALL")
 def l2_lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges twice, the second time under another name: before the first one for customers, behind it for others."""
     edges = B.lineage_edges(spark, sf_dir)
-    return L.lineage_edges(edges.unionByName(edges))
+    again = edges.withColumn("relationship", F.concat(F.when(F.col("child_id").startswith("c"), "a_").otherwise("z_"), "relationship"))
+    return L.lineage_edges(edges.unionByName(again))
 
 
 @query(f"SELECT run_id, arg_max(status, updated_at) AS status FROM ({_RUNS}) GROUP BY ALL")
@@ -473,9 +540,11 @@ def l5_row_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.row_provenance(chunks, merged, chunks).drop("ref_chunks")
 
 
-@query(f"SELECT run_id, arg_max(status, updated_at) AS status FROM ({_RUNS}) WHERE run_id IN (SELECT 'run' || c_custkey % 200 FROM customer WHERE c_nationkey = 3) GROUP BY ALL")
+@query(f"""WITH RECURSIVE edge AS ({_EDGES}), down AS (SELECT child_id AS id FROM edge WHERE parent_id = 'r0' UNION SELECT e.child_id FROM edge e JOIN down ON e.parent_id = down.id)
+  SELECT run_id, arg_max(status, updated_at) AS status FROM ({_RUNS}) WHERE run_id IN (SELECT 'run' || c_custkey % 200 FROM customer WHERE 'c' || c_custkey IN (SELECT id FROM down)) GROUP BY ALL""")
 def l6_runs_using(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.runs_using(_runs(spark, sf_dir), _datasets(spark, sf_dir), B.lineage_edges(spark, sf_dir), "n3").select("run_id", "status")
+    """Runs that made customers of a region, two steps away from it."""
+    return L.runs_using(_runs(spark, sf_dir), _datasets(spark, sf_dir), B.lineage_edges(spark, sf_dir), "r0").select("run_id", "status")
 
 
 @query(f"SELECT r.run_id, r.status, coalesce(n, 0) AS n_datasets, coalesce(s, 0)::BIGINT AS rows_written FROM (SELECT run_id, arg_max(status, updated_at) AS status FROM ({_RUNS}) GROUP BY ALL) r LEFT JOIN (SELECT 'run' || c_custkey % 200 AS run_id, count(*) AS n, sum(c_custkey) AS s FROM customer GROUP BY ALL) d USING (run_id)")
@@ -483,12 +552,14 @@ def l7_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.run_summary(_runs(spark, sf_dir), _datasets(spark, sf_dir)).drop("seconds")
 
 
-@query("SELECT 'sha256:' || sha256(string_agg(n_name || chr(10), '' ORDER BY n_nationkey)) AS checksum, sum(length(n_name) + 1)::BIGINT AS n_bytes FROM nation")
-def c3_file_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations' names as one text file, and its checksum."""
-    path = scratch_path(spark, "names")
-    B.table(spark, sf_dir, "nation").orderBy("n_nationkey").select("n_name").coalesce(1).write.text(path)
-    return TB.file_checksums(spark, f"{path}/*.txt").select("checksum", "n_bytes")
+@query(f"SELECT 'sha256:' || sha256(string_agg(sequence || chr(10), '' ORDER BY id)) AS checksum, sum(length(sequence) + 1)::BIGINT AS n_bytes FROM ({_DOCS}) JOIN (SELECT doc_id::VARCHAR AS id, lang FROM documents) USING (id) GROUP BY lang")
+def c3_file_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents' letters, a text file for each language, and the files' checksums; those of over 100 kB are read by lines."""
+    path = scratch_path(spark, "letters")
+    lang = B.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang")
+    lines = B.documents(spark, sf_dir).join(lang, "id").repartition("lang").sortWithinPartitions("lang", "id")
+    lines.select("lang", "sequence").write.partitionBy("lang").text(path)
+    return TB.file_checksums(spark, f"{path}/*/*.txt", whole=100_000).select("checksum", "n_bytes")
 
 
 @query(f"SELECT query_id, subject_id, evalue, 0 AS global_rank FROM ({_hits_sql()}) WHERE evalue < 0")
@@ -635,11 +706,30 @@ def st1_stream_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sixth(_run_to_table(spark, ST.stream_run_metrics(runs), "metrics", "complete"), "progress_pct", "hits_per_s")
 
 
-@query(_chunks_sql(f"SELECT * FROM ({_DOCS}) WHERE sequence <> ''"))
-def st3_stream_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Documents as records of a stream: some have a digit in the sequence, some no header, some stand behind a line of junk in a file of their own.
+_STREAMED = f"""SELECT id, CASE WHEN id::BIGINT % 9 = 1 THEN '' ELSE description END AS description, CASE WHEN id::BIGINT % 9 = 2 THEN sequence || '1' ELSE sequence END AS sequence, id::BIGINT % 9 AS kind
+  FROM ({_DOCS})"""
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     path = scratch_path(spark, "fasta")
-    B.documents(spark, sf_dir).select(FA.fasta_text(F.col("description"), F.col("sequence"))).write.text(path)
-    return _run_to_table(spark, ST.stream_fasta(spark, path, 7), "chunks", "append")
+    n = F.col("id").cast("long") % 9
+    docs = B.documents(spark, sf_dir).withColumn("description", F.when(n == 1, "").otherwise(F.col("description"))).withColumn("sequence", F.when(n == 2, F.concat("sequence", F.lit("1"))).otherwise(F.col("sequence")))
+    text = FA.fasta_text(F.col("description"), F.col("sequence"))
+    docs.where(n != 3).select(text).write.text(path)
+    docs.where(n == 3).select(F.concat(F.lit("junk ahead of "), "id", F.lit("\n"), text)).write.mode("append").option("maxRecordsPerFile", 1).text(path)
+    return ST.ingest_fasta(spark, path, 7, scratch_path(spark, "ingested"), scratch_path(spark, "ingested-log"))
+
+
+@query(_chunks_sql(f"SELECT * FROM ({_STREAMED}) WHERE sequence <> '' AND kind NOT IN (1, 2)"))
+def st3_stream_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir)[0]
+
+
+@query(f"""SELECT nullif(description, '') AS description, CASE WHEN kind = 1 THEN 'empty header' WHEN sequence = '' THEN 'header without sequence' ELSE 'invalid amino acid characters: 1' END AS reason FROM ({_STREAMED}) WHERE kind IN (1, 2) OR sequence = ''
+  UNION ALL SELECT NULL, 'data before any FASTA header' FROM ({_STREAMED}) WHERE kind = 3""")
+def st3_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir)[1].select(F.nullif("description", F.lit("")).alias("description"), "reason")
 
 
 @query(f"SELECT id, description, length(sequence)::INT AS length FROM ({_DOCS}) WHERE sequence <> '' ORDER BY id LIMIT 10")

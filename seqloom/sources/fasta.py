@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Residues of generated sequences.
 RESIDUES = "ACDEFGHIKLMNPQRSTVWY"
+#: What ends a record: the next one's mark.
+RECORD_END = "\n>"
 _EDGE = r"^[ \t\r\n\x0b\x0c]+|[ \t\r\n\x0b\x0c]+$"
 
 
@@ -41,10 +43,17 @@ def scan_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     Files are split at newline + '>', so one large file is read by many tasks.  Reading needs no
     shuffle but for one row a file that says which record is its first.
     """
-    raw = (
-        spark.read.option("lineSep", "\n>").text(paths)
-        .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("seq_no"))
-    )
+    return records_of(with_place(spark.read.option("lineSep", RECORD_END).text(paths)))
+
+
+def with_place(text: DataFrame) -> DataFrame:
+    """(value, path, start) of text read with ``RECORD_END``: each record with its file and the first byte of its block; a stream's, too."""
+    return text.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+
+
+def records_of(placed: DataFrame) -> DataFrame:
+    """Records from rows of ``with_place`` that are still as Spark read them (a scan, or a micro-batch)."""
+    raw = placed.withColumn("seq_no", F.monotonically_increasing_id())
     first = raw.where("start = 0").groupBy("path").agg(F.min("seq_no").alias("first_no"))
     return _records(raw.join(first, "path", "left"))
 
@@ -87,16 +96,27 @@ def to_sequences(records: DataFrame) -> DataFrame:
     )
 
 
-def validate_sequences(records: DataFrame, mode: str = "failfast") -> tuple[DataFrame, DataFrame]:
-    """(sequences, rejects).  ``failfast``: reading the sequences fails at a reject; ``quarantine``: rejects are set aside."""
+def validate_sequences(records: DataFrame, mode: str = "failfast", locate: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(sequences, rejects).  ``failfast``: reading the sequences fails at a reject; ``quarantine``: rejects are set aside.
+
+    A failure names the file and the last line of its first reject.  Lines are counted ahead of the check: inside each block of a
+    file, and over blocks by prefix sums, in rows without text; so it is one more pass over the files, which
+    ``locate=False`` saves (the message then names the block instead).
+    """
     if mode not in ("failfast", "quarantine"):
         raise ValueError("mode is 'failfast' or 'quarantine'")
     judged = with_reason(records)
-    rejects = line_numbers(judged.select("path", "start", "seq_no", "n_lines", "description", "reason")).where("reason IS NOT NULL").select("path", "last_line", "description", "reason")
+    located = line_numbers(judged.select("path", "start", "seq_no", "n_lines", "description", "reason")).where("reason IS NOT NULL")
+    rejects = located.select("path", "last_line", "description", "reason")
     if mode == "quarantine":
         return to_sequences(judged.where("reason IS NULL")), rejects
-    message = F.raise_error(F.concat(F.col("path"), F.lit(", block at byte "), F.col("start"), F.lit(", record '"), F.coalesce("description", F.lit("")), F.lit("': "), F.col("reason"))).cast("string")
-    checked = judged.withColumn("description", F.when(F.col("reason").isNotNull(), message).otherwise(F.col("description")))
+    what = [F.lit(", record '"), F.coalesce("description", F.lit("")), F.lit("': "), "reason"]
+    message = F.concat("path", F.lit(", block at byte "), F.col("start"), *what)
+    if locate:
+        first = located.orderBy("path", "last_line").limit(1).select(F.concat("path", F.lit(", line "), F.col("last_line"), *what).alias("_message"))
+        judged = judged.join(F.broadcast(first), F.lit(True), "left")  # one row at most
+        message = F.coalesce("_message", message)
+    checked = judged.withColumn("description", F.when(F.col("reason").isNotNull(), F.raise_error(message).cast("string")).otherwise(F.col("description")))
     return to_sequences(checked), rejects
 
 
@@ -116,9 +136,11 @@ def fasta_text(description: Column, sequence: Column, width: int = 80) -> Column
 
 
 def export_fasta(sequences: DataFrame, path: str) -> int:
-    """Write a FASTA folder and return the number of records."""
-    sequences.select(fasta_text(F.col("description"), F.col("sequence"))).write.mode("overwrite").text(path)
-    return sequences.count()
+    """Write a FASTA folder and return the number of records, which are counted as they are written."""
+    seen = Observation()
+    rows = sequences.select(fasta_text(F.col("description"), F.col("sequence")).alias("value")).observe(seen, F.count("*").alias("n"))
+    rows.write.mode("overwrite").text(path)
+    return seen.get["n"]
 
 
 def head_fasta(spark: SparkSession, path: str, n: int) -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.contracts import AUDIT_EVENTS, FEATURES, HITS_MERGED, HITS_RAW, MANIFEST, enforce_contract
+from seqloom.sources.layout import ranged
 
 
 def parse_hits(lines: DataFrame) -> DataFrame:
@@ -24,8 +29,11 @@ def scan_hits(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def write_chunks(chunks: DataFrame, path: str) -> None:
-    """A partition for each chunk that has rows, sorted by sequence_id."""
-    chunks.repartition("chunk_id").sortWithinPartitions("chunk_id", "sequence_id").write.mode("overwrite").partitionBy("chunk_id").parquet(path)
+    """A partition for each chunk that has rows: files of ranges of (chunk_id, sequence_id), each sorted.
+
+    A chunk of many rows is several ranges, written by as many tasks, and a read by sequence_id skips those that don't hold it.
+    """
+    ranged(chunks, ["chunk_id", "sequence_id"]).write.mode("overwrite").partitionBy("chunk_id").parquet(path)
 
 
 def scan_chunks(spark: SparkSession, path: str, chunk_ids: list[str] | None = None) -> DataFrame:
@@ -47,8 +55,8 @@ def manifest_entries(manifest: DataFrame) -> DataFrame:
 
 
 def write_hits(hits: DataFrame, path: str) -> None:
-    """Raw hits with query_chunk_id and ref_chunk_id, partitioned by the pair."""
-    hits.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("query_chunk_id", "ref_chunk_id").parquet(path)
+    """Raw hits with query_chunk_id and ref_chunk_id, partitioned by the pair; a task writes a range of pairs, so there are few small files."""
+    ranged(hits, ["query_chunk_id", "ref_chunk_id"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("query_chunk_id", "ref_chunk_id").parquet(path)
 
 
 def scan_hits_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -58,8 +66,8 @@ def scan_hits_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_merged(merged: DataFrame, path: str) -> None:
-    """Merged hits by query chunk; writing a chunk again replaces only that chunk."""
-    ordered = enforce_contract(merged, HITS_MERGED).repartition("query_chunk_id").sortWithinPartitions("query_chunk_id", "query_id", "global_rank")
+    """Merged hits by query chunk; writing a chunk again replaces only that chunk.  A chunk of many rows is written by several tasks, as ranges of (query_id, global_rank)."""
+    ordered = ranged(enforce_contract(merged, HITS_MERGED), ["query_chunk_id", "query_id", "global_rank"])
     ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("query_chunk_id").parquet(path)
 
 
@@ -108,7 +116,50 @@ def write_features(features: DataFrame, path: str) -> None:
     base.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("feature_version", "run_id").parquet(path)
 
 
-def file_checksums(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, n_bytes, checksum) of input files, for their provenance; one row a file, read by tasks (a file of up to 2 GB)."""
+def file_checksums(spark: SparkSession, paths: str | list[str], whole: int = 256 << 20) -> DataFrame:
+    """(path, n_bytes, checksum) of input files, for their provenance; checksums are those of the files' bytes.
+
+    Files of up to ``whole`` bytes are one row each.  Of longer ones, whatever their size, the lines are read by many tasks, dealt
+    by file and sorted by place (Spark spills what doesn't fit), and one task a file digests them one after
+    the other: it holds a batch of lines, never a file.  A long file that Spark doesn't read as it lies
+    (compressed, or with a byte-order mark) is an error.  Empty files have no row, as Spark's readers skip them.
+    """
     files = spark.read.format("binaryFile").load(paths)
-    return files.select("path", F.col("length").alias("n_bytes"), F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("checksum"))
+    small = files.where(F.col("length") <= whole).select("path", F.col("length").alias("n_bytes"), F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("checksum"))
+    meta = F.col("_metadata")
+    lines = (
+        spark.read.option("lineSep", "\n").text(paths).where(meta["file_size"] > whole)
+        .select(meta["file_path"].alias("path"), meta["file_size"].alias("n_bytes"), meta["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("place"), F.col("value").cast("binary").alias("line"))
+    )
+    dealt = lines.repartition("path").sortWithinPartitions("path", "start", "place").select("path", "n_bytes", "line")
+    return small.unionByName(dealt.mapInArrow(_digest_lines, "path string, n_bytes long, checksum string"))
+
+
+def _digest_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each file of ``batches(path, n_bytes, line)``, whose lines stand together and in order."""
+    path, size, seen, digest = None, 0, 0, None
+
+    def ended() -> pa.RecordBatch:
+        if seen != size:
+            raise ValueError(f"{path} has {size} bytes, of which its lines have {seen}: it is not read as it lies")
+        return pa.RecordBatch.from_pylist([{"path": path, "n_bytes": size, "checksum": f"sha256:{digest.hexdigest()}"}])
+
+    for batch in batches:
+        names, sizes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        at = 0
+        while at < len(names):
+            if names[at] != path:
+                if path is not None:
+                    yield ended()
+                path, size, seen, digest = names[at], sizes[at], 0, hashlib.sha256()
+            end = next((i for i in range(at, len(names)) if names[i] != path), len(names))
+            for line in batch.column(2).slice(at, end - at):
+                raw = line.as_py()
+                seen += len(raw)
+                digest.update(raw)
+                if seen < size:  # the last line may lack its end
+                    digest.update(b"\n")
+                    seen += 1
+            at = end
+    if path is not None:
+        yield ended()

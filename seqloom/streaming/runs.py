@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from seqloom.contracts import CHUNKS, REJECTS
 from seqloom.functions.scalar import exit_label
 from seqloom.operators.chunking import chunk_sequences
-from seqloom.sources.fasta import to_sequences, with_reason
+from seqloom.sources.fasta import RECORD_END, records_of, validate_sequences, with_place
 
 
 def stream_run_metrics(runs: DataFrame, window: str = "1 minute", late: str = "5 minutes") -> DataFrame:
@@ -67,14 +69,39 @@ def stream_stale_packages(heartbeats: DataFrame, timeout_seconds: int = 120, lat
     )
 
 
-def stream_fasta(spark: SparkSession, path: str, num_chunks: int, files_per_trigger: int = 100) -> DataFrame:
-    """Chunk rows of FASTA files as they arrive in ``path``; records that are no sequences are left out."""
-    raw = spark.readStream.option("lineSep", "\n>").option("maxFilesPerTrigger", files_per_trigger).text(path)
-    mark = F.col("value").startswith(">")
-    body = F.when(mark, F.expr("substring(value, 2)")).otherwise(F.col("value"))
-    lines = F.transform(F.split(body, "\r\n|\n|\r"), lambda x: F.btrim(x, F.lit(" \t\r\n")))
-    records = raw.select(F.lit(False).alias("ahead"), F.get(lines, F.lit(0)).alias("description"), F.upper(F.array_join(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), "")).alias("sequence"), F.lit("").alias("stray"))
-    return chunk_sequences(to_sequences(with_reason(records).where("reason IS NULL")), num_chunks)
+def stream_fasta(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
+    """FASTA records as they arrive in files of ``path``, each with its file and block; for ``ingest_fasta``."""
+    return with_place(spark.readStream.option("lineSep", RECORD_END).option("maxFilesPerTrigger", files_per_trigger).text(path))
+
+
+def fasta_sinks(num_chunks: int, out: str) -> Callable[[DataFrame, int], None]:
+    """A sink of micro-batches of ``stream_fasta`` with two outputs below ``out``: ``chunks``, and ``rejects`` with file, line and reason.
+
+    A file arrives whole in one batch, so its first record is told by the block at byte 0 and lines are counted as in a
+    scan.  Each batch has a folder of its own in both outputs and replaces it when it is run again
+    after a failure, so no record is lost or doubled.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist(StorageLevel.DISK_ONLY)  # read once for both outputs
+        try:
+            good, bad = validate_sequences(records_of(batch), "quarantine")
+            chunk_sequences(good, num_chunks).write.mode("overwrite").parquet(f"{out}/chunks/batch={number}")
+            bad.write.mode("overwrite").parquet(f"{out}/rejects/batch={number}")
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def ingest_fasta(spark: SparkSession, path: str, num_chunks: int, out: str, checkpoint: str, files_per_trigger: int = 100) -> tuple[DataFrame, DataFrame]:
+    """(chunk rows, rejects): all FASTA files of ``path`` that no earlier run with ``checkpoint`` has taken in are added to ``out``."""
+    schemas = {"chunks": CHUNKS, "rejects": REJECTS}
+    for name, schema in schemas.items():  # so that both outputs can be read before a file has come
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{out}/{name}/batch=-1")
+    write_batches(stream_fasta(spark, path, files_per_trigger), fasta_sinks(num_chunks, out), checkpoint).awaitTermination()
+    chunks, rejects = (spark.read.schema(schema).parquet(f"{out}/{name}").drop("batch") for name, schema in schemas.items())
+    return chunks, rejects
 
 
 def write_batches(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str):

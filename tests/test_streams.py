@@ -10,12 +10,10 @@ from seqloom.streaming import runs as ST
 
 def test_stream_fasta(spark, tmp_path):
     seqs = FA.generate_sequences(spark, 40, "s", 20, 100)
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    source = str(tmp_path / "in")
     FA.export_fasta(seqs, source)
-    q = ST.write_batches(ST.stream_fasta(spark, source, 5), lambda df, _: df.write.mode("append").parquet(out), str(tmp_path / "log"))
-    q.awaitTermination()
-    got = spark.read.parquet(out)
-    assert got.count() == 40 and got.select("sequence").exceptAll(seqs.select("sequence")).count() == 0
+    got, rejects = ST.ingest_fasta(spark, source, 5, str(tmp_path / "out"), str(tmp_path / "log"))
+    assert got.count() == 40 and got.select("sequence").exceptAll(seqs.select("sequence")).count() == 0 and rejects.count() == 0
 
 
 def test_stream_metrics(spark, tmp_path):
