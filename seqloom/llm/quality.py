@@ -98,7 +98,7 @@ def frequent_lines(lines: DataFrame, least: int, share: float | None = None) ->
 
 
 def quality_rules(docs: DataFrame, least: int = 25, max_removed: float = 0.5, share: float | None = None) -> DataFrame:
-    """One row for each document: base metrics, ``base_failed``, ``n_removed_words`` and ``kept``.
+    """One row for each document: base metrics, ``base_failed``, ``kept`` and ``n_removed_words``.
 
     A document is rejected by the base rules (fewer than 10 words, or over 20 % of words in
     repeated 5-word windows) or as depleted: more than ``max_removed`` of its words stand in
@@ -124,7 +124,7 @@ def _judge(docs: DataFrame, least: int, max_removed: float, share: float | None)
         .join(removed, ["host", "text_hash"], "left")
         .withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("long")))
         .withColumn("kept", ~F.col("base_failed") & (F.col("n_removed_words") <= max_removed * F.col("n_words")))
-        .select("doc_id", "host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_words", "kept")
+        .select("doc_id", "host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words")
     )
     return rules, gone
 

@@ -200,8 +200,8 @@ base AS (
     coalesce(n_removed_words, 0)::BIGINT AS n_removed_words
   FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN cov USING (doc_id) LEFT JOIN gone USING (doc_id)),
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_removed_words,
-  NOT base_failed AND n_removed_words <= 0.5 * n_words AS kept
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND n_removed_words <= 0.5 * n_words AS kept, n_removed_words
 FROM judged
 """
 
