@@ -77,44 +77,43 @@ def _bin(value: Column) -> Column:
     )
 
 
-def _ranks_within(counts: DataFrame, keys: list[str], order: str, ranks: str) -> DataFrame:
-    """``counts(*keys, order, n, ranks)`` with ``ahead``, the rows before it in the order, and only with those ranks (from 0) that fall to it; rows without any go."""
+def _ranks_within(counts: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """``counts(*keys, order, n, ranks, ...)`` with ``ahead``, the rows before it in the order, and only with those ranks (from 0) that fall to it."""
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = counts.withColumn("ahead", F.sum("n").over(w) - F.col("n"))
-    mine = F.filter(F.col(ranks), lambda r: (r >= F.col("ahead")) & (r < F.col("ahead") + F.col("n")))
-    return placed.withColumn(ranks, mine).where(F.size(ranks) > 0)
+    return placed.withColumn("ranks", F.filter("ranks", lambda r: (r >= F.col("ahead")) & (r < F.col("ahead") + F.col("n"))))
 
 
 def exact_quantiles(values: DataFrame, keys: list[str], value: str, quantiles: list[float]) -> DataFrame:
-    """``keys`` and ``p`` (an array: the exact quantiles of ``value``, linear between ranks) of each group.
+    """``keys`` and ``p`` (an array: the exact quantiles of ``value``, linear between ranks) of each group; null where a group has no values.
 
     Two passes.  The first counts bins, a histogram that tasks combine, and finds the bins in which the wanted ranks fall.
     The second counts different values in these bins only.  No aggregation holds a group's values, and running sums go over
-    bins and different values, not rows; so memory doesn't depend on how many rows a group has.  Nulls are left out.
+    bins and different values, not rows; so memory doesn't depend on how many rows a group has.
     """
     by = [f"_k{i}" for i in range(len(keys))]
-    x = values.where(F.col(value).isNotNull()).select(*[F.col(k).alias(b) for k, b in zip(keys, by)], F.col(value).cast("double").alias("v")).withColumn("bin", _bin(F.col("v")))
-    bins = materialize(x.groupBy(*by, "bin").agg(F.count("*").alias("n")), "bins")
+    x = values.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], F.col(value).cast("double").alias("v")).withColumn("bin", F.when(F.col("v").isNotNull(), _bin(F.col("v"))))
     place = [(F.col("total") - 1) * F.lit(float(q)) for q in quantiles]
     ends = F.array_distinct(F.array(*[f(p).cast("long") for p in place for f in (F.floor, F.ceil)]))
-    totals = bins.groupBy(*[F.col(b).alias(f"t{b}") for b in by]).agg(F.sum("n").alias("total")).withColumn("ranks", ends)
-    same = lambda a, b: [F.col(f"{b}{k}").eqNullSafe(F.col(f"{a}{k}")) for k in by]
-    wanted = materialize(_ranks_within(bins.join(totals, same("t", "")).drop(*[f"t{b}" for b in by]), by, "bin", "ranks"), "wanted-bins")
+    bins = x.groupBy(*by, "bin").agg(F.count("v").alias("n")).withColumn("total", F.sum("n").over(Window.partitionBy(*by)))
+    # Written, as its size then tells whether the second pass needs a shuffle of rows: it has a few bins a group.
+    wanted = materialize(_ranks_within(bins.withColumn("ranks", F.when(F.col("total") > 0, ends).otherwise(F.array().cast("array<long>"))), by, "bin").where((F.size("ranks") > 0) | (F.col("total") == 0)), "wanted-bins")
     inside = wanted.select(*[F.col(b).alias(f"w{b}") for b in by], F.col("bin").alias("wbin"), F.transform("ranks", lambda r: r - F.col("ahead")).alias("ranks"), F.col("ahead").alias("base"), "total")
-    met = x.join(inside, [*same("w", ""), F.col("bin") == F.col("wbin")]).groupBy(*by, "bin", "v").agg(F.count("*").alias("n"), F.first("ranks").alias("ranks"), F.first("base").alias("base"), F.first("total").alias("total"))
-    found = _ranks_within(met, [*by, "bin"], "v", "ranks").select(*by, "total", F.explode("ranks").alias("r"), "base", "v")
+    met = x.join(inside, [*[F.col(f"w{b}").eqNullSafe(F.col(b)) for b in by], F.col("bin") == F.col("wbin")])
+    each = met.groupBy(*by, "bin", "v").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("ranks", "base", "total")])
+    found = _ranks_within(each, [*by, "bin"], "v").select(*by, "total", F.explode("ranks").alias("r"), "base", "v")
     per = found.groupBy(*by, "total").agg(F.map_from_entries(F.collect_list(F.struct(F.col("r") + F.col("base"), "v"))).alias("at"))  # twice the quantiles at most
     at = lambda p, f: F.element_at("at", f(p).cast("long"))
     between = [F.when(at(p, F.floor) == at(p, F.ceil), at(p, F.floor)).otherwise(at(p, F.floor) * (F.ceil(p) - p) + at(p, F.ceil) * (p - F.floor(p))) for p in place]
-    return per.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], F.array(*between).alias("p"))
+    none = wanted.where("total = 0").select(*by, F.lit(None).cast("array<double>").alias("p"))
+    return per.select(*by, F.array(*between).alias("p")).unionByName(none).toDF(*keys, "p")
 
 
 def duration_quantiles(durations: DataFrame, window: str = "5 minutes") -> DataFrame:
     """Exact p50, p95 and p99 of ``duration_s`` in each window of ``ts``; a window without a duration has nulls."""
     placed = durations.select(F.window("ts", window)["start"].alias("window_start"), "duration_s")
     per = exact_quantiles(placed, ["window_start"], "duration_s", [0.5, 0.95, 0.99])
-    out = placed.select("window_start").distinct().join(per, "window_start", "left")
-    return out.select("window_start", *[F.get("p", F.lit(i)).alias(f"p{q}") for i, q in enumerate((50, 95, 99))])
+    return per.select("window_start", *[F.get("p", F.lit(i)).alias(f"p{q}") for i, q in enumerate((50, 95, 99))])
 
 
 def throughput(work: DataFrame, seconds: int = 60) -> DataFrame:
