@@ -207,7 +207,7 @@ def test_fuzzy_lines(spark):
                     v[at : at + 1] = r.choice([[], [r.choice(vocabulary)], [v[at], r.choice(vocabulary)], [v[at] + "x"]])
                 lines.append(" ".join(v))
     lines += ["  " + lines[0].upper() + "\t", "", "short", "Short", "the", " ".join(line(900))]
-    lines.append(lines[-1].replace(" ", "  ", 3) + " tail")  # over LONG characters
+    lines.append(lines[-1].replace(" ", "  ", 3) + " tail")  # a long line
     r.shuffle(lines)
     texts = ["\n".join(lines[i : i + 4]) for i in range(0, len(lines), 4)] + [None, "\n\n", lines[1]]
     rows = fuzzy_lines.fuzzy_line_groups(frame(spark, texts)).collect()
@@ -236,6 +236,72 @@ def test_fuzzy_lines(spark):
     assert fuzzy_lines.fuzzy_line_groups(frame(spark, [])).count() == 0
 
 
+def distance(a, b):
+    """Edit distance by columns of bits."""
+    if len(a) < len(b):
+        a, b = b, a
+    full, peq = (1 << len(a)) - 1, {}
+    for i, c in enumerate(a):
+        peq[c] = peq.get(c, 0) | 1 << i
+    up, down, score, last = full, 0, len(a), 1 << len(a) - 1
+    for c in b:
+        eq = peq.get(c, 0)
+        x = eq | down
+        h = (((eq & up) + up) ^ up) | eq
+        plus, minus = down | ~(h | up) & full, up & h
+        score += bool(plus & last) - bool(minus & last)
+        plus, minus = (plus << 1 | 1) & full, minus << 1 & full
+        up, down = minus | ~(x | plus) & full, plus & x
+    return score
+
+
+def test_fuzzy_lines_decide_by_characters_alone(spark):
+    """Long words, scattered typos, lines without blanks, other scripts: linked just where the edit similarity is 0.8 or more."""
+    r = random.Random(21)
+    word = lambda n, letters="abcdefghijklmnopqrstuvwxyz": "".join(r.choice(letters) for _ in range(n))
+    words = lambda n: [word(r.randint(3, 9)) for _ in range(n)]
+
+    def typos(ws, n):
+        out = list(ws)
+        for i in r.sample(range(len(ws)), n):
+            out[i] = out[i][:1] + "9" + out[i][2:]
+        return " ".join(out)
+
+    middle, twenty, big, long_line = " ".join(words(24)), words(20), word(1200), words(300)
+    chinese = "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(60))
+    arabic = word(80, "ابتثجحخدذرزسشصضطظعغ ").strip()
+    thai = "".join(chr(0x0E01 + r.randrange(45)) for _ in range(50))
+    pairs = [
+        (f"{word(250)} {middle}", f"{middle} {word(250)}"), (" ".join(twenty), typos(twenty, 8)), (f"see {big} now", f"see {big[:600]}#{big[601:]} now"),
+        (chinese, chinese[:30] + "國" + chinese[31:]), (arabic, arabic[:40] + "؟" + arabic[41:]), (thai, thai[:20] + thai[22:]), ("hello there wold", "hello there world"),
+        (" ".join(long_line), typos(long_line, 90)), (" ".join(long_line[:150]) + " tail of it", " ".join(long_line[:150] + words(8))), (" ".join(long_line[50:]), " ".join(long_line[50:120] + words(120) + long_line[240:])),
+        ("x" * 150 + " " + "y" * 30, "x" * 150), (" ".join(words(4)) + " " + middle, middle),
+    ]
+    got = {x["doc_id"]: x["group_id"] for x in fuzzy_lines.fuzzy_line_groups(frame(spark, [x for p in pairs for x in p])).collect()}
+    alike = [1 - distance(a, b) / max(len(a), len(b)) >= 0.8 for a, b in pairs]
+    assert [got[2 * i] == got[2 * i + 1] for i in range(len(pairs))] == alike
+    assert alike.count(False) == 2
+
+
+def test_judge_is_edit_distance(spark):
+    """Random pairs around the limit, with common ends, blanks in a row and words that move: the verdict is that of all characters."""
+    r = random.Random(22)
+    vocabulary = ["a", "bb", "the", "of", "longer", "", "wordsandwords", "é", "中文字", "x" * 60]
+    rows = []
+    for i in range(700):
+        a = [r.choice(vocabulary) for _ in range(r.choice([3, 20, 60, 150]))]
+        b = list(a)
+        for _ in range(r.randint(0, max(1, len(b) // 4))):
+            at = r.randrange(len(b) + 1)
+            b[at : at + r.randint(0, 2)] = r.choice([[], [r.choice(vocabulary)], [r.choice(vocabulary)] * 2])
+        rows.append((2 * i, " ".join(a) or "-", 2 * i + 1, " ".join(b) or "-"))
+    df = spark.createDataFrame(rows, "a long, ta string, b long, tb string")
+    texts = df.selectExpr("a AS h", "ta AS line").unionByName(df.selectExpr("b AS h", "tb AS line"))
+    got = {x["a"]: x["fine"] for x in fuzzy_lines.judge(df.select("a", "b"), texts, 0.8).collect()}
+    want = {a: distance(x, y) <= math.floor(max(len(x), len(y)) * (1 - 0.8) + 1e-9) for a, x, _, y in rows}
+    assert got == want and 100 < sum(want.values()) < 600
+
+
 def test_fuzzy_lines_recall(spark):
     """Nine in ten of all alike pairs of a given table are in one group."""
     path = "/root/testdata/sf0.001/documents.parquet"
