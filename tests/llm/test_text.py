@@ -367,6 +367,22 @@ def test_mixing_meets_its_budget(spark):
     assert mixing.mixing_plan(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("options", [{"max_repetition": 1.5}, {"max_repetition": 1.5, "cover": True}, {"target_entropy": 0.9}, {"budget_tokens": 3000, "max_repetition": 4.0}])
+def test_many_sources_never_reach_the_driver(spark, options):
+    """Targets from aggregations over a table of sources equal those from the driver; groups of few blocks change nothing."""
+    r = random.Random(10)
+    sources = [r.choice(["big"] * 6 + ["x", "y", "z", "z2"]) for _ in range(500)] + ["empty", "x"]
+    docs = frame(spark, [" ".join(["w"] * r.randint(0, 30)) for _ in sources[:-2]] + ["", None], sources)
+    few = mixing.mixing_plan(docs, block_tokens=40, **options)
+    before, mixing.GROUP = mixing.GROUP, 8
+    try:
+        many = mixing.mixing_plan(docs, block_tokens=40, max_sources=0, **options)
+        assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
+    finally:
+        mixing.GROUP = before
+    assert mixing.mixing_plan(frame(spark, []), max_sources=-1).count() == 0
+
+
 def test_gradient():
     net = lm_scoring.Network(lm_scoring.Shape(4, 5, 3), seed=1)
     r = np.random.default_rng(0)
