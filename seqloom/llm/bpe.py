@@ -224,8 +224,21 @@ def coder(path: str) -> Coder:
     return Coder(path)
 
 
+def _id_lists(packed: list[bytes]) -> pa.Array:
+    """Packed ids as lists of integers."""
+    offsets = [0]
+    for p in packed:
+        offsets.append(offsets[-1] + len(p) // 4)
+    values = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(packed))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+
 def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """``docs`` with a column ``ids`` (array<int>); null text counts as empty.  A narrow map; other columns pass through unread."""
+    """``docs`` with a column ``ids`` (array<int>): the token ids of ``text``.  A narrow map; other columns pass through unread.
+
+    Null and empty texts have no ids; rows with null or repeated doc_ids are encoded each by its own text; a column ``ids`` of
+    ``docs`` is replaced; an empty table gives an empty table.  A very long text is encoded whole, in memory for its pre-tokens.
+    """
     path = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,12 +246,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                packed = code.encode_all([t or "" for t in part.column("text").to_pylist()])
-                offsets = [0]
-                for p in packed:
-                    offsets.append(offsets[-1] + len(p) // 4)
-                values = pa.Array.from_buffers(pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(packed))])
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+                ids = _id_lists(code.encode_all([t or "" for t in part.column("text").to_pylist()]))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, "ids"])
 
     docs = docs.drop("ids")
@@ -247,7 +255,11 @@ def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
 
 def decode(tokens: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """``tokens`` with a column ``decoded``, the text of its column ``ids``; null ids count as empty."""
+    """``tokens`` with a column ``decoded``, the text of its column ``ids``, special tokens included.
+
+    Null ids count as empty; bytes that are no UTF-8 become U+FFFD; a column ``decoded`` of ``tokens`` is replaced, others pass
+    through unread; an empty table gives an empty table.
+    """
     path = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,22 +275,32 @@ def decode(tokens: DataFrame, vocabulary: str | None = None) -> DataFrame:
     return tokens.mapInArrow(run, tokens.withColumn("decoded", F.lit(None).cast("string")).schema)
 
 
-def digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): each text encoded, and its ids decoded again, in one pass.
+def digests(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]): each text encoded, and its ids decoded again, in one pass.
 
     The digests are of the ids as little-endian unsigned 32-bit integers and of the decoded text
-    in UTF-8.  Null text counts as empty.
+    in UTF-8; ``with_ids`` hands the ids (array<int>) on, too.
+
+    Null and empty texts have no tokens.  Rows with null or repeated doc_ids, and repeated rows, each have a row.  An empty table
+    gives an empty table; extra columns, whatever their names, are not read.  A very long text is encoded whole, in memory for
+    its pre-tokens.
     """
     path = vocabulary or default_vocabulary()
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(path)
-        for batch in batches:
-            n, ids, texts = [], [], []
-            for packed in code.encode_all([t or "" for t in batch.column(1).to_pylist()]):
-                n.append(len(packed) // 4)
-                ids.append(hashlib.sha256(packed).hexdigest())
-                texts.append(hashlib.sha256(code.decode(packed).encode("utf-8")).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(texts)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256 if with_ids else max(1, whole.num_rows)):
+                batch = whole.slice(at, 256) if with_ids else whole
+                n, ids, texts = [], [], []
+                coded = code.encode_all([t or "" for t in batch.column(1).to_pylist()])
+                for packed in coded:
+                    n.append(len(packed) // 4)
+                    ids.append(hashlib.sha256(packed).hexdigest())
+                    texts.append(hashlib.sha256(code.decode(packed).encode("utf-8")).hexdigest())
+                columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(texts)]
+                yield pa.RecordBatch.from_arrays(columns + ([_id_lists(coded)] if with_ids else []), names)
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,19 +17,43 @@ WORD_BREAK = r"[\x20\x09-\x0D]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``.
+_scopes: list[str] = []
 
-    A local session without that setting gets a temporary folder; on a cluster the
-    setting is required, because a machine-local folder is not shared.
-    """
+
+def _base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="seqloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under ``spark.checkpoint.dir``.
+
+    A local session without that setting gets a temporary folder; on a cluster the
+    setting is required, because a machine-local folder is not shared.
+    """
+    return f"{_scopes[-1] if _scopes else _base(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """Tables that are written inside go when it ends: what came of them must be written by then, to a path asked for before."""
+    path = f"{_base(spark)}/{name}-{uuid.uuid4().hex}"
+    _scopes.append(path)
+    try:
+        yield
+    finally:
+        _scopes.remove(path)
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def materialize(df: DataFrame, name: str, sort: list[str] | None = None, **options: str) -> DataFrame:
@@ -43,9 +69,7 @@ def materialize(df: DataFrame, name: str, sort: list[str] | None = None, **optio
 def discard(*tables: DataFrame) -> None:
     """Delete tables of ``materialize`` from which nothing is read any more: all that came of them is written."""
     for table in tables:
-        jvm = table.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(table.scratch)
-        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        _delete(table.sparkSession, table.scratch)
 
 
 def fresh(docs: DataFrame, *names: str) -> list[str]:

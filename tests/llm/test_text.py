@@ -417,15 +417,31 @@ def test_scores_against_brute_force(spark):
     net = lm_scoring.Network(shape, seed=3)
     net.weights = [r.normal(0, 0.5, w.shape).astype(np.float32) for w in net.weights]
     known = {f"w{k}".encode(): 17 + k for k in range(10)}
-    model = lm_scoring.Model(shape, known, net.packed())
-    texts = ["w1 w2 unseen w3", "w9", "w4 " * 300 + "w5", None, "", "w1 w2 unseen w3", "a bb ccc \n\t w0"]
+    rare = ["unseen", "zz", "a-very-long-unseen-word", "quite-another-long-one"]
+    frequent = {w: 50 - k for k, w in enumerate(known)}
+    counts = spark.createDataFrame([*[(w.encode(), 3 + k) for k, w in enumerate(rare)], *frequent.items()], "word binary, n long").repartition(3)
+    model = lm_scoring.Model(shape, known, net.packed(), lm_scoring.spelling(counts, known))
+    pairs, ahead, stops = {}, {}, [0, 0]
+    for k, w in enumerate(x.encode() for x in rare):
+        for a, b in zip([256, *w], w):
+            pairs[a, b] = pairs.get((a, b), 0) + 3 + k
+            ahead[a] = ahead.get(a, 0) + 3 + k
+        if len(w) >= 16:
+            stops = [stops[0] + 3 + k, stops[1] + (3 + k) * (len(w) - 16)]
+    stop = (stops[0] + 1) / (sum(stops) + 2)
+
+    def spelt(w):
+        p = sum(math.log((pairs.get(x, 0) + 0.1) / (ahead.get(x[0], 0) + 25.6)) for x in zip([256, *w], w))
+        return p + (math.log(stop) + (len(w) - 16) * math.log(1 - stop) if len(w) >= 16 else 0.0)
+
+    texts = ["w1 w2 unseen w3", "w9", "w4 " * 300 + "w5", None, "", "w1 w2 unseen w3", "a bb ccc \n\t w0", "a-very-long-unseen-word w2 é" + "x" * 40]
     extra = {c: F.lit("x") for c in ("n_tokens", "log_prob", "word")}
     got = {x["doc_id"]: x for x in lm_scoring.score(frame(spark, texts).withColumns(extra), model).collect()}
     table, bias, wc, bc, wm, bm = [w.astype(np.float64) for w in net.weights]
     softmax = lambda x: np.exp(x) / np.exp(x).sum()
     for i, t in enumerate(texts):
         ids = [known.get(w.encode(), min(len(w), 16)) for w in (t or "").split()]
-        total = 0.0
+        total = sum(spelt(w.encode()) for w in (t or "").split() if w.encode() not in known)
         for k, x in enumerate(ids):
             around = [ids[k + d] if 0 <= k + d < len(ids) else 0 for d in (-2, -1, 1, 2)]
             hid = np.tanh(bias + sum(table[j][c] for j, c in enumerate(around)))
@@ -433,7 +449,47 @@ def test_scores_against_brute_force(spark):
             total += math.log(softmax(hid @ wc + bc)[group]) + math.log(softmax(hid @ wm[group] + bm[group])[place])
         assert got[i]["n_tokens"] == len(ids) and abs(got[i]["log_prob"] - total) < 1e-3 * (1 + abs(total))
     words = {w.encode(): n for w, n in {"b": 3, "a": 3, "c": 1}.items()}
-    assert list(lm_scoring.vocabulary(frame(spark, ["a b a b c", "a b", None]), 2)) == sorted(words, key=lambda w: (-words[w], w))[:2]
+    assert list(lm_scoring.vocabulary(lm_scoring.word_counts(frame(spark, ["a b a b c", "a b", None])), 2)) == sorted(words, key=lambda w: (-words[w], w))[:2]
+
+
+def test_spellings_of_a_length_add_up_to_one():
+    r = np.random.default_rng(4)
+    model = lm_scoring.Spelling(r.integers(0, 9, (257, 256)).astype(float), 5, 20)
+    assert abs(np.exp(model.log_probs([bytes([a]) for a in range(256)])).sum() - 1) < 1e-9
+    assert abs(np.exp(model.log_probs([bytes([a, b]) for a in range(256) for b in range(256)])).sum() - 1) < 1e-9
+    # Of words of 16 bytes and more only the length is left to add up.
+    assert abs(sum(math.exp(model.stop + k * model.go_on) for k in range(4000)) - 1) < 1e-9
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    r = random.Random(12)
+    words = ["".join(r.choice("abcdef") for _ in range(r.randint(1, 6))) for _ in range(300)]
+    rows = [(r.choice([None, i, 7]), r.choice([None, ""] + [" ".join(r.choice(words) for _ in range(r.randint(1, 40)))] * 8)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("place", F.lit(1))
+    shape = lm_scoring.Shape(4, 16, 8)
+    models = [lm_scoring.train(docs.repartition(n), shape, batch=64, share_words=1500) for n in (2, 7)]
+    assert (models[0].flat == models[1].flat).all() and models[0].known == models[1].known
+    total = sum(len((t or "").split()) for _, t in rows)
+    assert models[0].words == total and models[0].outside == sum(w.encode() not in models[0].known for _, t in rows for w in (t or "").split()) > 0
+    scores = [sorted((str(x["doc_id"]), x["n_tokens"], x["log_prob"]) for x in lm_scoring.score(docs.repartition(n), m).collect()) for n, m in zip((3, 5), models)]
+    assert len(scores[0]) == 300
+    for a, b in zip(*scores):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-4 * (1 + abs(a[2]))  # sums in batches of other texts
+
+
+def test_bpe_and_counts_of_odd_rows(spark, library):
+    """Null and repeated ids, repeated rows, an empty table, clashing columns."""
+    text = "Some text, mail me@example.org or +1 234 567 8901."
+    rows = [(None, text), (None, text), (3, text), (3, "other"), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("n_tokens", "ids_sha256", "n_edits", "ids")})
+    want = sorted((str(i), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in rows)
+    digests = bpe.digests(docs, with_ids=True).collect()
+    assert sorted((str(x["doc_id"]), x["n_tokens"]) for x in digests) == want and all(len(x["ids"]) == x["n_tokens"] for x in digests)
+    edits = token_counts.pattern_edits(token_counts.PRIVATE, "<private>")
+    counts = token_counts.count_with_edits(docs, edits).collect()
+    assert sorted((str(x["doc_id"]), x["n_tokens_before"]) for x in counts) == want
+    assert sorted(x["n_edits"] for x in counts) == [0, 0, 0, 2, 2, 2]
+    assert token_counts.count_with_edits(docs.limit(0), edits).count() == 0 and bpe.digests(docs.limit(0)).count() == 0
 
 
 def test_pipeline_against_brute_force(spark, tmp_path, library):
@@ -518,6 +574,9 @@ def test_pipeline(spark, tmp_path, library):
     rows = P.run(spark, str(tmp_path)).collect()
     kept = {x["doc_id"] for x in rows}
     assert kept >= set(range(30)) and not kept & {30, 31, 32}
+    left = os.listdir(spark.conf.get("spark.checkpoint.dir"))
+    assert not [x for x in left if x.startswith("work-")] and not [x for x in left if x.startswith("stage-mixing")]
     for x in rows:
         ids = library.encode(texts[x["doc_id"]], add_special_tokens=False).ids
+        assert x["ids"] == ids
         assert x["n_tokens"] == len(ids) and x["decoded_sha256"] == hashlib.sha256(texts[x["doc_id"]].encode()).hexdigest()
