@@ -79,6 +79,37 @@ def test_edits_equal_a_new_count():
         assert [x for leaf in tree.leaves for x in leaf[0]] == list(map(len, token_counts.pieces(code, text)))
 
 
+def test_stored_trees_take_edits(spark, library):
+    """Trees in a table, edited twice, equal new counts; an edit in a long text encodes its surroundings only."""
+    r = random.Random(6)
+    texts = {i: t for i, t in enumerate([*noise(7, 40, 300), "", "long words here " * 4000])}
+    docs = spark.createDataFrame([*texts.items(), (None, "no id"), (7, texts[7])], "doc_id long, text string").withColumn("sizes", F.lit(1)).repartition(3)
+    trees = token_counts.build_trees(docs)
+    assert {(x["doc_id"], x["n_tokens"]) for x in trees.collect()} >= {(i, len(library.encode(t, add_special_tokens=False).ids)) for i, t in texts.items()}
+    for _ in range(2):
+        edits = []
+        for i, t in texts.items():
+            if i % 3 or i == 41:
+                a = r.randint(0, len(t))
+                two = sorted(r.sample(range(len(t) + 1), 2)) if len(t) > 1 else [0, 0]
+                new = [(a, a + 3, "new piece "), (two[0], min(two[1], two[0] + 9), None)]
+                edits += [(i, *x) for x in (new[:1] if two[0] < a + 3 and a < two[1] or len(t) < 20 else new)]
+        frame_ = spark.createDataFrame([*edits, (999, 0, 1, "x"), (None, 0, 1, "x")], "doc_id long, start long, end long, new string")
+        trees = token_counts.edit_trees(trees, frame_).drop("n_encoded_again")
+        for i, a, b, new in sorted(edits, key=lambda e: (e[0], -e[1])):
+            texts[i] = texts[i][:a] + (new or "") + texts[i][b:]
+        got = {}
+        for x in trees.collect():
+            got.setdefault(x["doc_id"], []).append(x)
+        assert len(got) == len(texts) + 1 and len(got[7]) == 2 and got[None][0]["text"] == "no id"
+        for i, t in texts.items():
+            for x in got[i]:
+                assert x["text"] == t and x["n_tokens"] == sum(x["counts"]) == len(library.encode(t, add_special_tokens=False).ids) and sum(x["sizes"]) == len(t)
+    one = spark.createDataFrame([(41, 30_000, 30_005, "changed")], "doc_id long, start long, end long, new string")
+    assert [x["n_encoded_again"] for x in token_counts.edit_trees(trees.where("doc_id = 41"), one).collect()][0] < 200
+    assert token_counts.edit_trees(trees.limit(0), one).count() == 0 and token_counts.build_trees(docs.limit(0)).count() == 0
+
+
 def test_count_with_edits(spark, library):
     texts = ["mail me at some.one@example.org today, " * 3, None, "", "plain words only", "call +44 20 7946 0958 now"]
     got = {r["doc_id"]: r for r in token_counts.count_with_edits(frame(spark, texts), token_counts.pattern_edits(token_counts.PRIVATE, "<private>")).collect()}
