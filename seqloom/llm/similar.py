@@ -15,8 +15,6 @@ from seqloom.llm.simhash import _LOWER, fingerprint, fingerprint_links
 
 #: Bands of a signature and minima in a band: at similarity 0.8 a pair misses all bands once in 8 million.
 BANDS, ROWS = 40, 5
-#: Rounds in which a bucket's members are compared with one of them.
-STARS = 2
 
 _FACTOR = np.random.default_rng(11).integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
 _MIX = np.random.default_rng(13).integers(0, 1 << 64, (BANDS, ROWS), np.uint64) | np.uint64(1)
@@ -62,29 +60,36 @@ def _judge(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 def similarity_links(nodes: DataFrame, sets: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
     """(node, component) of what ``known(src, dst)`` and the pairs of a bucket at ``similarity`` or more connect.
 
-    ``nodes(node, keys)`` has band keys; nodes with an equal key share a bucket.  In STARS rounds
-    the members of each bucket are compared with one of them, another in each bucket and round.
-    Then all pairs of a bucket are compared that are not in one component yet.
+    ``nodes(node, size, keys)`` has band keys; nodes with an equal key share a bucket.  In a round the
+    members of each bucket are compared with some of them, its centres: one in the first two rounds, twice as many in each later one, a centre
+    for each part of a bucket.  The member that meets most others over all its buckets goes first, as a
+    text from which many copies were made does: it links them all at once, and pairs inside a component are never
+    compared.  A bucket is done when those that were no centre yet are in one component; so no pair of unlike components is left out.
     """
-    dealt = nodes.select("node", F.explode("keys").alias("key"))
-    shared = materialize(dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "similar-keys")
-    members = materialize(dealt.join(shared, "key"), "similar-members")
-    edges = materialize(known, "similar-edges")
-    for turn in range(STARS + 1):
-        found = connected_components(edges).withColumnRenamed("node", "node_")
-        now = materialize(members.join(found, members["node"] == found["node_"], "left").select("key", "node", F.coalesce("component", "node").alias("c")), "similar-now")
-        centre = F.min(F.struct(F.xxhash64("node", "key", F.lit(turn)).alias("h"), F.col("node").alias("to"), F.col("c").alias("to_c"))).alias("m")
-        open_ = materialize(now.groupBy("key").agg(centre, F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key", "m.to", "m.to_c"), "similar-open")
-        if not open_.take(1):
+    dealt = nodes.select("node", "size", F.explode("keys").alias("key"))
+    shared = materialize(dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "similar-keys")
+    met = materialize(dealt.join(shared, "key"), "similar-met")
+    score = met.groupBy("node").agg(F.sum("n").alias("score"))
+    members = materialize(met.join(score, "node").select("key", "node", "size", "score"), "similar-members")
+    edges, tried, turn = materialize(known, "similar-edges"), None, 0
+    while True:
+        found = materialize(connected_components(edges).withColumnRenamed("node", "node_"), "similar-found")
+        now = materialize(members.join(found, members["node"] == found["node_"], "left").select("key", "node", "size", "score", F.coalesce("component", "node").alias("c")), "similar-now")
+        free = now if tried is None else now.join(tried, ["key", "node"], "left_anti")
+        open_ = free.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("key")
+        part = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << max(0, turn - 1)))
+        best = F.max(F.struct("score", F.xxhash64("node", "key", F.lit(turn)).alias("h"), "node", F.col("c").alias("to_c"), F.col("size").alias("to_size"))).alias("m")
+        centres = materialize(free.join(open_, "key").groupBy("key", part.alias("part")).agg(best).select("key", F.col("m.node").alias("to"), "m.to_c", "m.to_size"), "similar-open")
+        if centres.isEmpty():
             return found.withColumnRenamed("node_", "node")
-        if turn < STARS:
-            pairs = now.join(open_, "key").where("c <> to_c").select(F.least("node", "to").alias("src"), F.greatest("node", "to").alias("dst"))
-        else:
-            left = now.join(open_.select("key"), "key")
-            right = left.select("key", F.col("node").alias("other"), F.col("c").alias("other_c"))
-            pairs = left.join(right, "key").where("c < other_c").select(F.least("node", "other").alias("src"), F.greatest("node", "other").alias("dst"))
-        edges = edges.unionByName(materialize(_judge(pairs.distinct(), sets, similarity), "similar-edges"))
-    return connected_components(edges)
+        possible = F.least("size", "to_size") >= similarity * F.greatest("size", "to_size") - 1e-9
+        pairs = now.join(centres, "key").where((F.col("c") != F.col("to_c")) & possible).select(F.least("node", "to").alias("src"), F.greatest("node", "to").alias("dst")).distinct()
+        # What is connected goes on as stars.
+        stars = found.select(F.col("node_").alias("src"), F.col("component").alias("dst"))
+        edges = materialize(stars.unionByName(_judge(pairs, sets, similarity)), "similar-edges")
+        used = centres.select("key", F.col("to").alias("node"))
+        tried = used if tried is None else tried.unionByName(used)
+        turn += 1
 
 
 def drop_similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, bits: int = 4) -> DataFrame:
@@ -106,7 +111,8 @@ def drop_similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, bits:
             node = np.array([node_of(s) for s in sets], np.uint64).view(np.int64)
             fp = np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
             keys = pa.array([band_keys(s).view(np.int64) if len(s) else [] for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(fp), keys], ["doc_id", "row", "node", "fp", "keys"])
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), sizes, pa.array(fp), keys], ["doc_id", "row", "node", "size", "fp", "keys"])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,8 +120,8 @@ def drop_similar(docs: DataFrame, similarity: float = 0.8, width: int = 5, bits:
             node = np.array([node_of(s) for s in sets], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "s"])
 
-    marks = materialize(rows.select("doc_id", row.alias("row"), "text").mapInArrow(mark, "doc_id long, row long, node long, fp long, keys array<long>"), "similar-marks")
-    nodes = materialize(marks.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")), "similar-nodes")
+    marks = materialize(rows.select("doc_id", row.alias("row"), "text").mapInArrow(mark, "doc_id long, row long, node long, size long, fp long, keys array<long>"), "similar-marks")
+    nodes = materialize(marks.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("keys").alias("keys")), "similar-nodes")
     # Only nodes that share a key need their sets.
     dealt = nodes.select("node", "rep", F.explode("keys").alias("key"))
     again = materialize(dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "similar-again")

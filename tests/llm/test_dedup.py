@@ -268,3 +268,42 @@ def test_pipeline_drops_near_copies(spark):
     assert got == sorted([(False, i, texts[i]) for i in want] + [(x[0] is None, x[0] or 0, x[1]) for x in more])
     assert 30 <= len(want) < len(texts) - 20
     assert corpus_pipeline.simhash_stage(spark, frame(spark, []), "").count() == 0
+
+
+def test_similar_families_against_all_pairs(spark):
+    """A text with many copies that are unlike each other, a family without such a text, chains: groups by brute force."""
+    r = random.Random(41)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(5))
+
+    def changed(words, n):
+        out = list(words)
+        for at in r.sample(range(0, len(words), 6), n):
+            out[at] = word()
+        return out
+
+    base, lost, chain = ([word() for _ in range(150)] for _ in range(3))
+    texts = [base] + [changed(base, 3) for _ in range(40)] + [changed(lost, r.choice([2, 3, 4])) for _ in range(40)]
+    for _ in range(12):
+        texts.append(chain)
+        chain = changed(chain, 3)
+    texts += [[word() for _ in range(20)] for _ in range(10)]
+    r.shuffle(texts)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    kept = {x["doc_id"] for x in similar.drop_similar(docs, bits=0).collect()}
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    unlike = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            share = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+            unlike += 0.4 < share < 0.8
+            if share >= 0.8:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    assert kept == {find(i) for i in range(len(texts))} and unlike > 500
