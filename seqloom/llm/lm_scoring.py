@@ -78,17 +78,20 @@ class Network:
 
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """The natural log-probability of each target given both sides."""
-        hid = self._hidden(context)
+        # In the order of targets each class is a slice.
+        order = np.argsort(target, kind="stable")
+        hid = self._hidden(context[order])
         _, _, wc, bc, wm, bm = self.weights
-        group, place = np.divmod(target, self.shape.members)
-        out = np.log(np.take_along_axis(self._softmax(hid @ wc + bc), group[:, None], 1)[:, 0] + 1e-30)
-        order = np.argsort(group, kind="stable")
-        ends = np.searchsorted(group[order], np.arange(self.shape.classes + 1))
+        group, place = np.divmod(target[order], self.shape.members)
+        found = np.log(np.take_along_axis(self._softmax(hid @ wc + bc), group[:, None], 1)[:, 0] + 1e-30)
+        ends = np.searchsorted(group, np.arange(self.shape.classes + 1))
         for c in range(self.shape.classes):
-            rows = order[ends[c] : ends[c + 1]]
-            if len(rows):
+            rows = slice(ends[c], ends[c + 1])
+            if ends[c] < ends[c + 1]:
                 p = self._softmax(hid[rows] @ wm[c] + bm[c])
-                out[rows] += np.log(p[np.arange(len(rows)), place[rows]] + 1e-30)
+                found[rows] += np.log(p[np.arange(len(p)), place[rows]] + 1e-30)
+        out = np.empty_like(found)
+        out[order] = found
         return out
 
     def _descend(self, k: int, at, gradient: np.ndarray, rate: float) -> None:
@@ -102,6 +105,8 @@ class Network:
         """One step on a batch."""
         table, bias, wc, bc, wm, bm = self.weights
         n = len(target)
+        order = np.argsort(target, kind="stable")  # each class is a slice
+        context, target = context[order], target[order]
         hid = self._hidden(context)
         group, place = np.divmod(target, self.shape.members)
         error = self._softmax(hid @ wc + bc) / np.float32(n)
@@ -109,13 +114,12 @@ class Network:
         back = error @ wc.T
         self._descend(2, ..., hid.T @ error, rate)
         self._descend(3, ..., error.sum(axis=0), rate)
-        order = np.argsort(group, kind="stable")
-        ends = np.searchsorted(group[order], np.arange(self.shape.classes + 1))
+        ends = np.searchsorted(group, np.arange(self.shape.classes + 1))
         for c in range(self.shape.classes):
-            rows = order[ends[c] : ends[c + 1]]
-            if len(rows):
+            rows = slice(ends[c], ends[c + 1])
+            if ends[c] < ends[c + 1]:
                 e = self._softmax(hid[rows] @ wm[c] + bm[c]) / np.float32(n)
-                e[np.arange(len(rows)), place[rows]] -= np.float32(1 / n)
+                e[np.arange(len(e)), place[rows]] -= np.float32(1 / n)
                 back[rows] += e @ wm[c].T
                 self._descend(4, c, hid[rows].T @ e, rate)
                 self._descend(5, c, e.sum(axis=0), rate)
@@ -237,7 +241,7 @@ class Model:
     outside: int = 0
 
 
-def train(docs: DataFrame, shape: Shape = Shape(), rounds: int = 1, batch: int = 8192, rate: float = 0.1, seed: int = 42, share_words: int = SHARE_WORDS) -> Model:
+def train(docs: DataFrame, shape: Shape = Shape(), rounds: int = 1, batch: int = 16_384, rate: float = 0.1, seed: int = 42, share_words: int = SHARE_WORDS) -> Model:
     """Train on every document: each task descends on its own rows, and the weights are averaged by their targets.
 
     In a round every word of every text is a target once, predicted from both sides.  A task sends its
@@ -287,7 +291,7 @@ def train(docs: DataFrame, shape: Shape = Shape(), rounds: int = 1, batch: int =
                     if len(ids):
                         held.append((_contexts(ids), ids))
                         size += len(ids)
-                    if size >= 16 * batch:
+                    if size >= 8 * batch:
                         learn()
                         total, held, size = total + size, [], 0
             if size:
