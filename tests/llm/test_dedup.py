@@ -271,7 +271,7 @@ def test_pipeline_drops_near_copies(spark):
 
 
 def test_similar_families_against_all_pairs(spark):
-    """A text with many copies that are unlike each other, a family without such a text, chains: groups by brute force."""
+    """A text with many copies that are unlike each other, copies too far from it with copies of their own, a family without such a text, chains: groups by brute force."""
     r = random.Random(41)
     word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(5))
 
@@ -286,6 +286,8 @@ def test_similar_families_against_all_pairs(spark):
     for _ in range(12):
         texts.append(chain)
         chain = changed(chain, 3)
+    far = [changed(base, 8) for _ in range(12)]
+    texts += far + [changed(t, n) for t in far[:8] for n in (1, 2, 2, 3)]
     texts += [[word() for _ in range(20)] for _ in range(10)]
     r.shuffle(texts)
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
