@@ -89,16 +89,15 @@ def _met_by_differences(apart: DataFrame, last: bool) -> DataFrame:
         common = F.greatest(F.lit(1), F.ceil((F.col("u") + F.col(other)) / 2 - 1e-6).cast("int"))
         private = F.col("d") - F.size("shared")
         most = F.greatest(F.lit(0), F.col("d") - common + 1 - private)
-        return side.select("centre", "node", "c", F.explode(F.slice("shared", F.lit(1), most)["e"]).alias("e"))
+        return side.select("centre", "node", "c", "u", F.explode(F.slice("shared", F.lit(1), most)["e"]).alias("e"))
 
     outside = rows.where(~F.col("inside"))
     sides = [(rarest(outside.where("in_u IS NOT NULL"), "in_u"), rarest(rows.where("inside AND out_u IS NOT NULL"), "out_u"), "c <> other_c")]
-    if last:
-        near = rarest(outside, "out_u")
-        sides.append((near, near, "c < other_c"))
+    if last:  # the one with the smaller u needs u elements in common at least
+        sides.append((rarest(outside, "u"), rarest(outside, "out_u"), "c <> other_c AND (u < other_u OR u = other_u AND node < other)"))
     found = None
     for one, two, unlike in sides:
-        met = one.join(two.select("centre", "e", F.col("node").alias("other"), F.col("c").alias("other_c")), ["centre", "e"]).where(unlike)
+        met = one.join(two.select("centre", "e", F.col("node").alias("other"), F.col("c").alias("other_c"), F.col("u").alias("other_u")), ["centre", "e"]).where(unlike)
         pairs = met.select(F.least("node", "other").alias("src"), F.greatest("node", "other").alias("dst"))
         found = pairs if found is None else found.unionByName(pairs)
     return found.distinct()
