@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 RESIDUES = "ACDEFGHIKLMNPQRSTVWY"
 #: What ends a record: the next one's mark.
 RECORD_END = "\n>"
-_EDGE = r"^[ \t\r\n\x0b\x0c]+|[ \t\r\n\x0b\x0c]+$"
+_BLANKS = " \t\r\n\x0b\x0c"
 
 
 def _records(raw: DataFrame) -> DataFrame:
@@ -22,21 +22,29 @@ def _records(raw: DataFrame) -> DataFrame:
     has_mark = F.col("value").startswith(">")
     body = F.when(first & has_mark, F.expr("substring(value, 2)")).otherwise(F.col("value"))
     ahead = first & ~has_mark
-    lines = F.split(body, "\r\n|\n|\r")
-    header = F.regexp_replace(F.get(lines, F.lit(0)), _EDGE, "")
-    residues = F.upper(F.array_join(F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: F.regexp_replace(x, _EDGE, "")), ""))
-    return raw.select(
-        "path",
-        "start",
-        "seq_no",
-        ahead.alias("ahead"),
-        F.when(~ahead, header).alias("description"),
-        F.when(ahead, F.lit("")).otherwise(residues).alias("sequence"),
-        F.when(ahead, F.regexp_replace(body, _EDGE, "")).alias("stray"),
-        F.size(F.split(F.col("value"), "\n")).alias("n_lines"),
+    # Plain replacements: a pattern for each line costs more than all else here; lines are trimmed one by one only where there are blanks.
+    lined = F.replace(F.replace(body, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    n_lines = F.length("value") - F.length(F.replace(F.col("value"), F.lit("\n"), F.lit(""))) + 1
+    parts = _once(raw, ["path", "start", "seq_no"], ahead=ahead, lined=lined, n_lines=n_lines)
+    parts = _once(parts, ["path", "start", "seq_no", "ahead", "lined", "n_lines"], top=F.substring_index("lined", "\n", 1))
+    parts = _once(parts, ["path", "start", "seq_no", "ahead", "lined", "n_lines", "top"], rest=F.col("lined").substr(F.length("top") + 2, F.length("lined")))
+    trimmed = F.array_join(F.transform(F.split("rest", "\n"), lambda x: F.btrim(x, F.lit(_BLANKS))), "")
+    residues = F.upper(F.when(F.col("rest").rlike(r"[ \t\x0b\x0c]"), trimmed).otherwise(F.replace(F.col("rest"), F.lit("\n"), F.lit(""))))
+    return _once(
+        parts,
+        ["path", "start", "seq_no", "ahead"],
+        description=F.when(~F.col("ahead"), F.btrim("top", F.lit(_BLANKS))),
+        sequence=F.when(F.col("ahead"), F.lit("")).otherwise(residues),
+        stray=F.when(F.col("ahead"), F.btrim("lined", F.lit(_BLANKS))),
+        n_lines=F.col("n_lines"),
     )
 
 
+def _once(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """``keep`` and new ``columns``, worked out once a row: the optimizer would copy a projection's expressions to each place that reads them."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def scan_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Every record of FASTA files, valid or not, with its file and place.
 
@@ -51,6 +59,13 @@ def with_place(text: DataFrame) -> DataFrame:
     return text.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
 
 
+def unpacked(files: DataFrame) -> DataFrame:
+    """``with_place`` of files that are a row (path, content) each: as a reader cuts them, an empty file has no row, and no record follows a mark at the end."""
+    content = F.when(F.col("content").endswith(RECORD_END), F.col("content").substr(F.lit(1), F.length("content") - len(RECORD_END))).otherwise(F.col("content"))
+    whole = files.where("content <> ''").select("path", content.alias("content"))
+    return whole.select(F.explode(F.split("content", RECORD_END)).alias("value"), "path", F.lit(0).cast("long").alias("start"))
+
+
 def records_of(placed: DataFrame) -> DataFrame:
     """Records from rows of ``with_place`` that are still as Spark read them (a scan, or a micro-batch)."""
     raw = placed.withColumn("seq_no", F.monotonically_increasing_id())

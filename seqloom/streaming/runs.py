@@ -13,7 +13,11 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from seqloom.contracts import CHUNKS, REJECTS
 from seqloom.functions.scalar import exit_label
 from seqloom.operators.chunking import chunk_sequences
-from seqloom.sources.fasta import RECORD_END, records_of, validate_sequences, with_place
+from seqloom.sources.fasta import RECORD_END, records_of, unpacked, validate_sequences, with_place
+
+
+#: Bytes of files in a micro-batch.
+BATCH_BYTES = 1 << 30
 
 
 def stream_run_metrics(runs: DataFrame, window: str = "1 minute", late: str = "5 minutes") -> DataFrame:
@@ -69,9 +73,22 @@ def stream_stale_packages(heartbeats: DataFrame, timeout_seconds: int = 120, lat
     )
 
 
-def stream_fasta(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
-    """FASTA records as they arrive in files of ``path``, each with its file and block; for ``ingest_fasta``."""
-    return with_place(spark.readStream.option("lineSep", RECORD_END).option("maxFilesPerTrigger", files_per_trigger).text(path))
+def stream_fasta(spark: SparkSession, path: str, files_per_trigger: int | None = None, bytes_per_trigger: int = BATCH_BYTES) -> DataFrame:
+    """FASTA records as they arrive in files of ``path``, each with its file and block; for ``ingest_fasta``.
+
+    A batch takes files up to ``bytes_per_trigger`` (one at least), so that many small files make few batches; with ``files_per_trigger`` it takes so many files instead.
+    """
+    limit = ("maxBytesPerTrigger", str(bytes_per_trigger)) if files_per_trigger is None else ("maxFilesPerTrigger", str(files_per_trigger))
+    return with_place(spark.readStream.option("lineSep", RECORD_END).option(*limit).text(path))
+
+
+def stream_packs(spark: SparkSession, path: str, bytes_per_trigger: int = BATCH_BYTES) -> DataFrame:
+    """As ``stream_fasta``, of many small files that arrive packed: Parquet files of ``path`` with a row (path, content) for each.
+
+    A million files cost a store and the stream's list a million entries, a pack one.
+    """
+    packs = spark.readStream.schema("path string, content string").option("maxBytesPerTrigger", str(bytes_per_trigger)).parquet(path)
+    return unpacked(packs)
 
 
 def fasta_sinks(num_chunks: int, out: str) -> Callable[[DataFrame, int], None]:
@@ -94,12 +111,15 @@ def fasta_sinks(num_chunks: int, out: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def ingest_fasta(spark: SparkSession, path: str, num_chunks: int, out: str, checkpoint: str, files_per_trigger: int = 100) -> tuple[DataFrame, DataFrame]:
-    """(chunk rows, rejects): all FASTA files of ``path`` that no earlier run with ``checkpoint`` has taken in are added to ``out``."""
+def ingest_fasta(spark: SparkSession, path: str, num_chunks: int, out: str, checkpoint: str, files_per_trigger: int | None = None, packs: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(chunk rows, rejects): all FASTA files of ``path``, and all those in ``packs`` (see ``stream_packs``), that no earlier run with ``checkpoint`` has taken in are added to ``out``."""
     schemas = {"chunks": CHUNKS, "rejects": REJECTS}
     for name, schema in schemas.items():  # so that both outputs can be read before a file has come
         spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{out}/{name}/batch=-1")
-    write_batches(stream_fasta(spark, path, files_per_trigger), fasta_sinks(num_chunks, out), checkpoint).awaitTermination()
+    stream = stream_fasta(spark, path, files_per_trigger)
+    if packs is not None:
+        stream = stream.unionByName(stream_packs(spark, packs))
+    write_batches(stream, fasta_sinks(num_chunks, out), checkpoint).awaitTermination()
     chunks, rejects = (spark.read.schema(schema).parquet(f"{out}/{name}").drop("batch") for name, schema in schemas.items())
     return chunks, rejects
 

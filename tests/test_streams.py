@@ -44,3 +44,27 @@ def test_stream_stale(spark, tmp_path):
         assert [(r["package_id"], r["timeout_s"]) for r in spark.read.parquet(out).collect()] == [("p1", 120)]
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
+def test_many_small_files_make_few_batches(spark, tmp_path):
+    source, out, log = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "log")
+    source.mkdir()
+    for i in range(250):
+        (source / f"{i}.fasta").write_text(f">s{i}\nMK\n")
+    got, _ = ST.ingest_fasta(spark, str(source), 3, out, log)
+    assert got.count() == 250 and len(list((tmp_path / "log" / "offsets").glob("[0-9]*"))) == 1
+
+
+def test_packed_files_are_read_as_files(spark, tmp_path):
+    texts = ["junk\nMK\n>a one\nMKV\n", "\n\n>b\nAC D\n E F\t\n>\nMM\n>c\n", ">d\r\nMK\r\r\n>>e\nAC\n>", "", "\n>", ">f x\ry\rM1\n\n", " \x0b>g\nMK"]
+    source, packs, none = tmp_path / "in", str(tmp_path / "packs"), tmp_path / "none"
+    for folder in (source, none):
+        folder.mkdir()
+    for i, text in enumerate(texts):
+        (source / str(i)).write_text(text, newline="")
+    spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "path string, content string").write.parquet(packs)
+    loose = ST.ingest_fasta(spark, str(source), 3, str(tmp_path / "o1"), str(tmp_path / "l1"))
+    packed = ST.ingest_fasta(spark, str(none), 3, str(tmp_path / "o2"), str(tmp_path / "l2"), packs=packs)
+    rows = lambda df: sorted(tuple(str(x).rsplit("/", 1)[-1] for x in r) for r in df.collect())
+    assert [rows(d) for d in loose] == [rows(d) for d in packed]
+    assert {(r["sequence_id"], r["sequence"]) for r in packed[0].collect()} == {("a", "MKV"), (">e", "AC"), ("d", "MK")} and packed[1].count() > 4
