@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from seqloom.sources.scratch import materialize
 
-#: Rows of a range whose rows are counted first.
-ROWS = 500_000
+#: Rows of a range whose rows are counted first: few, because a row may be a whole text, and a range is read by one task.
+ROWS = 50_000
 
 
 def ranged(df: DataFrame, keys: list[str], parts: int | None = None) -> DataFrame:

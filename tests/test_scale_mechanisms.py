@@ -82,6 +82,16 @@ def test_a_common_repeat_costs_rows_by_pairs_not_letters(spark):
     assert {x["n_seeds"] for x in A.seed_join(frame("q", 15), A.seeds(frame("s", 15), 8), 8, 2, often=4).collect()} == {393}
 
 
+def test_seeds_that_no_reference_has_are_left_out_early(spark, monkeypatch):
+    written, write = {}, A.materialize
+    monkeypatch.setattr(A, "materialize", lambda df, name: written.setdefault(name, write(df, name)))
+    queries = spark.createDataFrame([("q1", "MKVLAAG"), ("q2", "WWWWWWWWWWWW")], "id string, sequence string")
+    refs = spark.createDataFrame([(f"r{i}", "MKVLAAG") for i in range(5)], "id string, sequence string")
+    got = A.seed_join(queries, A.seeds(refs, 4), 4, 1, often=3).collect()
+    assert sorted((r["query_id"], r["subject_id"], r["diagonal"], r["n_seeds"]) for r in got) == [("q1", f"r{i}", 0, 4) for i in range(5)]
+    assert {r["query_id"] for r in written["query-places"].collect()} == {"q1"} and written["reference-places"].count() == 20
+
+
 def test_masked_seeds_break_runs(spark):
     frame = lambda x: spark.createDataFrame(x, "id string, sequence string")
     refs = frame([("a", "ACDEFACDEF"), ("b", "ACDEF"), ("c", "XACDEX")])
@@ -143,6 +153,15 @@ def test_sequential_chunks_with_one_id(spark):
     assert [(r[0], r[1]) for r in sizes] == [("chunk_000", 30), ("chunk_001", 30), ("chunk_002", 30), ("chunk_003", 10)]
 
 
+def test_ranges_of_wide_rows_are_small_by_default(spark, monkeypatch):
+    written, write = {}, layout.materialize
+    monkeypatch.setattr(layout, "materialize", lambda df, name: written.setdefault(name, write(df, name)))
+    got = layout.numbered(spark.range(120_000).select(F.col("id").cast("string").alias("id"), F.lit("M" * 50).alias("sequence")), ["id"], "n")
+    sizes = [r["count"] for r in written["ranged"].groupBy("n_part").count().collect()]
+    assert sum(sizes) == 120_000 and max(sizes) < 100_000
+    assert tuple(got.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first()) == (0, 119_999, 120_000)
+
+
 def test_a_hot_chunk_is_written_by_many_tasks(spark):
     path = scratch_path(spark, "hot-chunk")
     seqs = spark.createDataFrame([("chunk_000" if i % 10 else "chunk_001", f"s{i:05d}", "d", "MK" * 50, 100, str(i)) for i in range(4000)], "chunk_id string, sequence_id string, description string, sequence string, length int, content_hash string")
