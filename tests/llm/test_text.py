@@ -346,6 +346,34 @@ def test_fuzzy_lines_recall(spark):
     assert len(alike) > 20 and sum(group[distinct[i]] == group[distinct[j]] for i, j in alike) >= 0.9 * len(alike)
 
 
+def test_no_alike_lines_of_one_bucket_stay_apart(spark, monkeypatch):
+    """With one bucket for all lines, groups are those of all alike pairs, however many lines are unlike the smallest ones."""
+    r = random.Random(5)
+    letters = lambda n: "".join(r.choice("abcdefghij") for _ in range(n))
+    texts = []
+    for _ in range(12):
+        line = letters(40)
+        for _ in range(4):  # a chain, whose ends may be unlike
+            texts.append(line)
+            for at in r.sample(range(40), 5):
+                line = line[:at] + r.choice("abcdefghij") + line[at + 1:]
+    monkeypatch.setattr(fuzzy_lines, "block_keys", lambda lines: lines.select("h", F.length("line").alias("size"), F.lit(1).cast("long").alias("key")))
+    monkeypatch.setattr(fuzzy_lines, "SHARE", 10)
+    got = {texts[x["doc_id"]]: x["group_id"] for x in fuzzy_lines.fuzzy_line_groups(frame(spark, texts)).collect()}
+    distinct = sorted(set(texts))
+    root = {x: x for x in distinct}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, j in alike_pairs(distinct):
+        root[find(distinct[i])] = find(distinct[j])
+    assert len({find(x) for x in distinct}) < len(distinct)
+    assert len({(find(x), got[x]) for x in distinct}) == len({find(x) for x in distinct}) == len(set(got.values()))
+
+
 def test_fuzzy_lines_edges(spark):
     """Null and repeated ids, repeated rows, clashing columns, hot buckets."""
     base = "one common line of ten words that stands in rows"
