@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import compress
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -64,32 +64,41 @@ class Network:
     def packed(self) -> np.ndarray:
         return np.concatenate([w.ravel() for w in self.weights]).astype(np.float32)
 
+    def _order(self, ids: np.ndarray) -> np.ndarray:
+        """The stable order of ids; those of two bytes or less are sorted digit by digit, much faster than longs."""
+        return np.argsort(ids.astype(np.min_scalar_type(self.shape.vocabulary - 1)), kind="stable")
+
     def _hidden(self, context: np.ndarray) -> np.ndarray:
         table, bias = self.weights[:2]
-        total = bias + table[0][context[:, 0]]
+        total = bias + np.take(table[0], context[:, 0], axis=0)
         for k in range(1, len(CONTEXT)):
-            total = total + table[k][context[:, k]]
-        return np.tanh(total)
+            total += np.take(table[k], context[:, k], axis=0)
+        return np.tanh(total, out=total)
 
     @staticmethod
-    def _softmax(x: np.ndarray) -> np.ndarray:
-        x = np.exp(x - x.max(axis=1, keepdims=True))
-        return x / x.sum(axis=1, keepdims=True)
+    def _softmax(hid: np.ndarray, weight: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        """Probabilities with a column for each row of ``hid``: a maximum or a sum down columns takes many of them at a time."""
+        x = weight.T @ hid.T
+        x += bias[:, None]
+        x -= x.max(axis=0)
+        np.exp(x, out=x)
+        x /= x.sum(axis=0)
+        return x
 
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """The natural log-probability of each target given both sides."""
         # In the order of targets each class is a slice.
-        order = np.argsort(target, kind="stable")
-        hid = self._hidden(context[order])
+        order = self._order(target)
+        hid = self._hidden(np.take(context, order, axis=0))
         _, _, wc, bc, wm, bm = self.weights
         group, place = np.divmod(target[order], self.shape.members)
-        found = np.log(np.take_along_axis(self._softmax(hid @ wc + bc), group[:, None], 1)[:, 0] + 1e-30)
+        found = np.log(self._softmax(hid, wc, bc)[group, np.arange(len(group))] + 1e-30)
         ends = np.searchsorted(group, np.arange(self.shape.classes + 1))
         for c in range(self.shape.classes):
             rows = slice(ends[c], ends[c + 1])
             if ends[c] < ends[c + 1]:
-                p = self._softmax(hid[rows] @ wm[c] + bm[c])
-                found[rows] += np.log(p[np.arange(len(p)), place[rows]] + 1e-30)
+                p = self._softmax(hid[rows], wm[c], bm[c])
+                found[rows] += np.log(p[place[rows], np.arange(p.shape[1])] + 1e-30)
         out = np.empty_like(found)
         out[order] = found
         return out
@@ -105,38 +114,43 @@ class Network:
         """One step on a batch."""
         table, bias, wc, bc, wm, bm = self.weights
         n = len(target)
-        order = np.argsort(target, kind="stable")  # each class is a slice
-        context, target = context[order], target[order]
+        order = self._order(target)  # each class is a slice
+        context, target = np.take(context, order, axis=0), target[order]
         hid = self._hidden(context)
         group, place = np.divmod(target, self.shape.members)
-        error = self._softmax(hid @ wc + bc) / np.float32(n)
-        error[np.arange(n), group] -= np.float32(1 / n)
-        back = error @ wc.T
-        self._descend(2, ..., hid.T @ error, rate)
-        self._descend(3, ..., error.sum(axis=0), rate)
+        error = self._softmax(hid, wc, bc)
+        error[group, np.arange(n)] -= 1
+        error *= np.float32(1 / n)
+        back = error.T @ wc.T
+        self._descend(2, ..., (error @ hid).T, rate)
+        self._descend(3, ..., error.sum(axis=1), rate)
         ends = np.searchsorted(group, np.arange(self.shape.classes + 1))
         for c in range(self.shape.classes):
             rows = slice(ends[c], ends[c + 1])
             if ends[c] < ends[c + 1]:
-                e = self._softmax(hid[rows] @ wm[c] + bm[c]) / np.float32(n)
-                e[np.arange(len(e)), place[rows]] -= np.float32(1 / n)
-                back[rows] += e @ wm[c].T
-                self._descend(4, c, hid[rows].T @ e, rate)
-                self._descend(5, c, e.sum(axis=0), rate)
-        back *= 1 - hid * hid
+                e = self._softmax(hid[rows], wm[c], bm[c])
+                e[place[rows], np.arange(e.shape[1])] -= 1
+                e *= np.float32(1 / n)
+                back[rows] += e.T @ wm[c].T
+                self._descend(4, c, (e @ hid[rows]).T, rate)
+                self._descend(5, c, e.sum(axis=1), rate)
+        hid *= hid
+        back *= np.subtract(1, hid, out=hid)
         self._descend(1, ..., back.sum(axis=0), rate)
+        sides = back.T.astype(np.float64)
         for k in range(len(CONTEXT)):
-            # Sums by context word: rows in the order of their words, then one sum a word.
-            by = np.argsort(context[:, k], kind="stable")
-            words = context[by, k]
-            first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
-            self._descend(0, (k, words[first]), np.add.reduceat(back[by], first, axis=0), rate)
+            # Sums by context word, one dimension at a time; a word that is not there has a gradient of 0, which changes nothing.
+            words = np.ascontiguousarray(context[:, k])
+            sums = np.stack([np.bincount(words, side, self.shape.vocabulary) for side in sides], axis=1)
+            self._descend(0, k, sums.astype(np.float32), rate)
 
 
 def _ids(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
     """Ids of words; outside the vocabulary a word goes by its length."""
-    get = known.get
-    return np.fromiter((get(w) or 1 + min(len(w), BY_LENGTH) - 1 for w in words), np.int64, len(words))
+    ids = np.fromiter(map(known.get, words, repeat(EDGE)), np.int64, len(words))
+    rare = np.flatnonzero(ids == EDGE)
+    ids[rare] = np.minimum(np.fromiter((len(words[i]) for i in rare.tolist()), np.int64, len(rare)), BY_LENGTH)
+    return ids
 
 
 def _contexts(ids: np.ndarray) -> np.ndarray:
@@ -283,7 +297,7 @@ def train(docs: DataFrame, shape: Shape = Shape(), rounds: int = 1, batch: int =
                 mixed = np.random.default_rng(seed).permutation(len(target))
                 for at in range(0, len(target), batch):
                     pick = mixed[at : at + batch]
-                    net.step(around[pick], target[pick], rate)
+                    net.step(np.take(around, pick, axis=0), target[pick], rate)
 
             for rows in batches:
                 for text in rows.column(0).cast(pa.binary()):

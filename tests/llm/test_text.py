@@ -455,6 +455,36 @@ def test_gradient():
     assert abs(every - 1) < 1e-4
 
 
+def test_steps_are_those_of_each_word(monkeypatch):
+    """A step by hand, word by word, gives the same weights, and ids are never sorted as longs."""
+    shape = lm_scoring.Shape(4, 5, 3)
+    net = lm_scoring.Network(shape, seed=1)
+    r = np.random.default_rng(0)
+    net.weights = [r.normal(0, 0.5, w.shape).astype(np.float32) for w in net.weights]
+    context, target = r.integers(0, 20, (60, 4)), r.integers(0, 20, 60)
+    table, bias, wc, bc, wm, bm = before = [w.astype(np.float64) for w in net.weights]
+    grads = [np.zeros_like(w) for w in before]
+    softmax = lambda x: np.exp(x) / np.exp(x).sum()
+    for around, x in zip(context, target):
+        hid = np.tanh(bias + sum(table[k][c] for k, c in enumerate(around)))
+        group, place = divmod(int(x), shape.members)
+        e = softmax(hid @ wc + bc) - np.eye(shape.classes)[group]
+        f = softmax(hid @ wm[group] + bm[group]) - np.eye(shape.members)[place]
+        back = (wc @ e + wm[group] @ f) * (1 - hid * hid)
+        for k, c in enumerate(around):
+            grads[0][k, c] += back / 60
+        for k, at, g in ((1, ..., back), (2, ..., np.outer(hid, e)), (3, ..., e), (4, group, np.outer(hid, f)), (5, group, f)):
+            grads[k][at] += g / 60
+    sorted_as = []
+    argsort = np.argsort
+    monkeypatch.setattr(lm_scoring.np, "argsort", lambda a, **kw: sorted_as.append(a.dtype.itemsize) or argsort(a, **kw))
+    net.step(context, target, 0.1)
+    net.log_probs(context, target)
+    for w, b, g in zip(net.weights, before, grads):
+        np.testing.assert_allclose(w, b - 0.1 * g / np.sqrt(1e-6 + g * g), atol=2e-4)
+    assert sorted_as and max(sorted_as) <= 2
+
+
 def test_lm_tells_text_from_noise(spark):
     r = random.Random(10)
     pairs = {f"a{i}": f"b{i}" for i in range(20)}
