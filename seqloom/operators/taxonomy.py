@@ -9,6 +9,9 @@ from seqloom.contracts import RANKS
 from seqloom.functions.scalar import extract_accession
 from seqloom.sources.scratch import materialize
 
+#: Accessions with their lineages that are sent to every task.
+SENT = 500_000
+
 
 def resolve_lineage(nodes: DataFrame, names: DataFrame, max_depth: int = 64) -> DataFrame:
     """(taxon_id, species, genus, family, order, class, phylum, kingdom) for every taxon.
@@ -36,10 +39,17 @@ def resolve_lineage(nodes: DataFrame, names: DataFrame, max_depth: int = 64) ->
 
 
 def enrich_hits(hits: DataFrame, accession_to_taxon: DataFrame, lineage: DataFrame) -> DataFrame:
-    """``hits`` with taxon_id and the lineage; hits without a taxon stay, with nulls."""
+    """``hits`` with taxon_id and the lineage; hits without a taxon stay, with nulls.
+
+    Accessions get their lineages first, written once, so the hits take part in one join.  Up to SENT accessions
+    go to every task; the hits then stay where they are, also for what is grouped by query behind it, and a frequent
+    subject fills no task.  The join of more is left to Spark.
+    """
     keyed = hits.withColumn("_accession", extract_accession(F.col("subject_id")))
     taxon = accession_to_taxon.select(F.col("accession").alias("_accession"), "taxon_id")
-    return keyed.join(taxon, "_accession", "left").join(lineage, "taxon_id", "left").select(*hits.columns, "taxon_id", *RANKS)
+    known = materialize(taxon.join(lineage.select("taxon_id", *RANKS), "taxon_id", "left"), "accessions")
+    known = F.broadcast(known) if known.count() <= SENT else known
+    return keyed.join(known, "_accession", "left").select(*hits.columns, "taxon_id", *RANKS)
 
 
 def taxonomic_profile(enriched: DataFrame) -> DataFrame:

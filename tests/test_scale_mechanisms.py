@@ -18,6 +18,7 @@ from seqloom.operators import chunking as K
 from seqloom.operators import features as X
 from seqloom.operators import merge as M
 from seqloom.operators import runlog as R
+from seqloom.operators import taxonomy as T
 from seqloom.sources import fasta as FA
 from seqloom.sources import layout
 from seqloom.sources import tables as TB
@@ -289,3 +290,46 @@ def test_points_sit_with_their_nearest_centre(spark):
     # The components are the directions of most variance.
     values = np.linalg.eigvalsh(np.cov(x.T))[::-1]
     np.testing.assert_allclose([np.var([g[p] for g in got], ddof=1) for p in ("pc1", "pc2")], values[:2], rtol=1e-6)
+
+
+# --- lineages and features of hits -------------------------------------------------------------------------------
+
+
+def _plan(df):
+    df.collect()  # adaptive plans are final once they have run
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def enriched_parts(spark):
+    rows = [(f"q{i % 40}", f"s{i % 7}.1" if i % 11 else None, i % 90 + 1.0, 5 + i % 13, 0, 0, i, i, i, i, float(i), 1.0, "q", "r") for i in range(600)]
+    names = "query_id string, subject_id string, percent_identity double, alignment_length int, mismatches int, gap_opens int, query_start int, query_end int, subject_start int, subject_end int, evalue double, bitscore double, query_chunk_id string, ref_chunk_id string"
+    # An accession of two taxa, one of a taxon without a lineage, one that no hit has, a subject without an accession.
+    accessions = spark.createDataFrame([("s0", 5), ("s1", 6), ("s1", 5), ("s2", 99), ("s9", 5), ("s4", None), (None, 6)], "accession string, taxon_id long")
+    nodes = spark.createDataFrame([(1, 1, "no rank"), (2, 1, "kingdom"), (3, 1, "kingdom"), (5, 2, "phylum"), (6, 3, "phylum")], "taxon_id long, parent_id long, rank string")
+    lineage = T.resolve_lineage(nodes, nodes.select("taxon_id", F.concat(F.lit("n"), "taxon_id").alias("name")))
+    return M.merge_hits(spark.createDataFrame(rows, names), 10), accessions, lineage
+
+
+def test_hits_are_not_dealt_out_for_their_lineages(spark, enriched_parts, monkeypatch):
+    """Two shuffles of hits, those of the merge: joins and both aggregations behind it add none; sent or dealt out, the rows are the same."""
+    merged, accessions, lineage = enriched_parts
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        sent = T.enrich_hits(merged, accessions, lineage)
+        assert _plan(X.hit_features(sent)).split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 2
+        monkeypatch.setattr(T, "SENT", 0)
+        dealt = T.enrich_hits(merged, accessions, lineage)
+        assert "BroadcastHashJoin" not in _plan(dealt) and sent.columns == dealt.columns
+        got = Counter(map(tuple, sent.collect()))
+        assert got == Counter(map(tuple, dealt.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    taxa, lines = {}, {x["taxon_id"]: x for x in lineage.collect()}
+    for x in accessions.collect():
+        taxa.setdefault(x["accession"], []).append(x["taxon_id"])
+    want = Counter()
+    for x in merged.collect():
+        for t in taxa.get(x["subject_id"] and x["subject_id"][:-2], [None]) if x["subject_id"] else [None]:
+            want[(*x, t, *(lines[t][1:] if t in lines else [None] * 7))] += 1
+    assert got == want
