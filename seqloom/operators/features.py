@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.contracts import FEATURES
@@ -19,28 +19,44 @@ def significant(hits: DataFrame, max_evalue: float | None) -> DataFrame:
     return hits if max_evalue is None else hits.where(F.col("evalue") <= max_evalue)
 
 
+#: The place of a null, and of 0, in the lower half of a long.
+_LEAST = 1 << 31
+
+
+def _best(rank: Column, length: Column) -> Column:
+    """A rank and a length in one long, in their order, nulls first: the least of them takes no object, so rows are combined in a hash table."""
+    half = lambda c: F.coalesce(c.cast("long"), F.lit(-_LEAST)) + _LEAST
+    return F.shiftleft(half(rank) - _LEAST, 32).bitwiseOR(half(length))
+
+
+def _length(best: Column) -> Column:
+    low = best.bitwiseAND(F.lit((1 << 32) - 1))
+    return F.when(low > 0, low - _LEAST).cast("int")
+
+
 def hit_features(enriched: DataFrame) -> DataFrame:
     """One row a query with hits: counts, means, spread, the best hit's length, entropy of phyla in bits.
 
-    Two aggregations: by (query, phylum), then by query from sums, so that each hit is shuffled
-    once at most and combined ahead of it.
+    Two aggregations: by (query, phylum) and, as further rows, by (query, kingdom); then by query from sums, so that each hit is shuffled
+    once at most and combined ahead of it.  All that is added up is a number, no set of a group is held.
     """
     x = F.col("alignment_length").cast("double")
-    per = enriched.groupBy("query_id", "phylum").agg(
+    by_phylum = F.col("_by") == 0
+    sides = enriched.withColumn("_by", F.explode(F.array(F.lit(0), F.lit(1))))
+    per = sides.groupBy("query_id", "_by", F.when(by_phylum, F.col("phylum")).alias("phylum"), F.when(~by_phylum, F.col("kingdom")).alias("kingdom")).agg(
         F.count("*").alias("n"),
         F.sum("percent_identity").alias("pid"),
         F.max("percent_identity").alias("pid_max"),
         F.sum(log10_evalue(F.col("evalue"))).alias("log_e"),
         F.sum(x).alias("len"),
         F.sum(x * x).alias("len2"),
-        F.min(F.struct("global_rank", "alignment_length")).alias("best"),
-        F.collect_set("kingdom").alias("kingdoms"),
+        F.min(_best(F.col("global_rank"), F.col("alignment_length"))).alias("best"),
     )
-    known = F.when(F.col("phylum").isNotNull(), F.col("n"))
+    of = lambda c: F.when(by_phylum, F.col(c))
+    known = F.when(by_phylum & F.col("phylum").isNotNull(), F.col("n"))
     total = per.groupBy("query_id").agg(
-        F.sum("n").alias("n"), F.sum("pid").alias("pid"), F.max("pid_max").alias("pid_max"), F.sum("log_e").alias("log_e"), F.sum("len").alias("len"), F.sum("len2").alias("len2"),
-        F.min("best").alias("best"), F.sum(known).alias("k"), F.sum(known * F.log2(known)).alias("klogk"), F.count(known).alias("phyla"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("kingdoms")))).alias("kingdoms"),
+        *[F.sum(of(c)).alias(c) for c in ("n", "pid", "log_e", "len", "len2")], F.max("pid_max").alias("pid_max"),
+        F.min("best").alias("best"), F.sum(known).alias("k"), F.sum(known * F.log2(known)).alias("klogk"), F.count(known).alias("phyla"), F.count("kingdom").alias("kingdoms"),
     )
     n = F.col("n")
     spread = F.sqrt(F.greatest(F.col("len2") / n - F.pow(F.col("len") / n, 2), F.lit(0.0)))
@@ -48,7 +64,7 @@ def hit_features(enriched: DataFrame) -> DataFrame:
     return total.select(
         F.col("query_id").alias("sequence_id"), n.cast("int").alias("hit_count"), (F.col("pid") / n).alias("mean_percent_identity"), F.col("pid_max").alias("max_percent_identity"),
         (F.col("log_e") / n).alias("mean_evalue_log10"), (F.col("len") / n).alias("mean_alignment_length"), spread.alias("std_alignment_length"),
-        F.col("best.alignment_length").alias("_best_length"), entropy.alias("taxonomic_entropy"), F.col("phyla").cast("int").alias("num_phyla"), F.col("kingdoms").cast("int").alias("num_kingdoms"),
+        _length(F.col("best")).alias("_best_length"), entropy.alias("taxonomic_entropy"), F.col("phyla").cast("int").alias("num_phyla"), F.col("kingdoms").cast("int").alias("num_kingdoms"),
     )
 
 

@@ -333,3 +333,27 @@ def test_hits_are_not_dealt_out_for_their_lineages(spark, enriched_parts, monkey
         for t in taxa.get(x["subject_id"] and x["subject_id"][:-2], [None]) if x["subject_id"] else [None]:
             want[(*x, t, *(lines[t][1:] if t in lines else [None] * 7))] += 1
     assert got == want
+
+
+def test_features_of_a_phylum_in_two_kingdoms(spark):
+    """Sums are held in hash tables of numbers, and are those by hand: nulls, a phylum in two kingdoms, ranks and lengths missing or below 0."""
+    r = random.Random(4)
+    rows = [(r.choice(["a", "b", "c", None]), r.choice(["p1", "p2", "p3", None]), r.choice(["k1", "k2", None]), r.choice([None, 1.5, 90.0]), r.choice([0.0, 1e-9, None]), r.choice([None, -7, 0, 3, 2**31 - 1]), r.choice([None, -2, 5, 9]))
+            for _ in range(80)] + [("none", None, None, None, None, None, None), ("ranked", "p1", "k1", 1.0, 1.0, -4, 2), ("ranked", "p1", "k1", 1.0, 1.0, 9, -3), ("ranked", "p1", "k2", 1.0, 1.0, 8, 1)]
+    df = spark.createDataFrame(rows, "query_id string, phylum string, kingdom string, percent_identity double, evalue double, alignment_length int, global_rank int").repartition(3)
+    out = X.hit_features(df)
+    assert not {"ObjectHashAggregate", "SortAggregate"} & set(_plan(out).replace("(", " ").split())
+    got = {x["sequence_id"]: x for x in out.collect()}
+    assert set(got) == {x[0] for x in rows}
+    for q, x in got.items():
+        mine = [row for row in rows if row[0] == q]
+        phyla = Counter(row[1] for row in mine if row[1])
+        assert (x["hit_count"], x["num_phyla"], x["num_kingdoms"]) == (len(mine), len(phyla), len({row[2] for row in mine} - {None}))
+        entropy = -sum(n / phyla.total() * math.log2(n / phyla.total()) for n in phyla.values())
+        assert abs(x["taxonomic_entropy"] - entropy) < 1e-9
+        low = lambda v: -math.inf if v is None else v
+        assert x["_best_length"] == min(mine, key=lambda row: (low(row[6]), low(row[5])))[5]
+        known = [row[3] for row in mine if row[3] is not None]
+        assert x["max_percent_identity"] == max(known, default=None) and (not known or abs(x["mean_percent_identity"] - sum(known) / len(mine)) < 1e-9)
+        lengths = [row[5] for row in mine if row[5] is not None]
+        assert not lengths or math.isclose(x["mean_alignment_length"], sum(lengths) / len(mine), rel_tol=1e-12, abs_tol=1e-12)
