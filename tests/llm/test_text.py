@@ -374,6 +374,52 @@ def test_no_alike_lines_of_one_bucket_stay_apart(spark, monkeypatch):
     assert len({(find(x), got[x]) for x in distinct}) == len({find(x) for x in distinct}) == len(set(got.values()))
 
 
+def test_unlike_lines_of_one_bucket_are_proven_unlike_ahead_of_edit_distances(spark, monkeypatch):
+    """In a bucket of unlike lines, edit distances are worked out for a few pairs a line, not for all pairs; alike ones are found."""
+    r = random.Random(31)
+    syllables = ["".join(r.choice("abcdefghijklmnoprstu") for _ in range(r.randint(2, 4))) for _ in range(60)]
+    line = lambda: " ".join("".join(r.choice(syllables) for _ in range(r.randint(1, 4))) for _ in range(40))
+    lines = [line() for _ in range(120)]
+    lines += [x.replace(x[50:53], "#", 1) for x in lines[:10]]
+    monkeypatch.setattr(fuzzy_lines, "block_keys", lambda lines: lines.select("h", F.length("line").alias("size"), F.lit(1).cast("long").alias("key")))
+    seen, judge = [], fuzzy_lines.judge
+
+    def counted(pairs, texts, similarity):
+        seen.append(pairs.count())
+        return judge(pairs, texts, similarity)
+
+    monkeypatch.setattr(fuzzy_lines, "judge", counted)
+    got = {x["doc_id"]: x["group_id"] for x in fuzzy_lines.fuzzy_line_groups(frame(spark, lines)).collect()}
+    assert len(set(got.values())) == 120 and all(got[i] == got[120 + i] for i in range(10))
+    assert sum(seen) < 5 * len(lines)
+
+
+def test_pieces_prove_no_alike_lines_unlike(spark):
+    """Around the limit, in several scripts and with characters beyond 16 bits: what is proven unlike is unlike."""
+    r = random.Random(32)
+    alphabets = ["abcdefgh ", "abcdefghijklmnopqrstuvwxyz  ", "ابتثجحخدذرزسش ", "".join(chr(0x4E00 + i) for i in range(400)), "ab😀😁😂é\u0161\u0261 ", "a"]
+    pairs = []
+    for _ in range(900):
+        letters = r.choice(alphabets)
+        a = "".join(r.choice(letters) for _ in range(r.choice([1, 2, 3, 7, 20, 80, 300])))
+        b = list(a)
+        for _ in range(int(len(a) * r.choice([0, 0.1, 0.18, 0.2, 0.22, 0.3, 1, 4, 4])) + r.randint(0, 1)):
+            at = r.randrange(len(b) + 1)
+            b[at : at + r.randint(0, 1)] = r.choice([[], [r.choice(letters)]])
+        pairs.append((a, "".join(b) or "-"))
+    rows = [(2 * i + j, x) for i, p in enumerate(pairs) for j, x in enumerate(p)]
+    filters = fuzzy_lines.piece_filters(spark.createDataFrame(rows, "h long, line string"))
+    left = filters.where("h % 2 = 0").select("h", "letters", F.col("filter").alias("own"))
+    right = filters.where("h % 2 = 1").select((F.col("h") - 1).alias("h"), F.col("letters").alias("other"), "filter")
+    most = fuzzy_lines._most(F.length("letters"), F.length("other"), 0.8)
+    proof = fuzzy_lines._unlike(F.col("letters"), F.col("filter"), most), fuzzy_lines._unlike(F.col("other"), F.col("own"), most)
+    got = {x["h"] // 2: x["p"] or x["q"] for x in left.join(right, "h").select("h", proof[0].alias("p"), proof[1].alias("q")).collect()}
+    alike = [distance(a, b) <= math.floor(max(len(a), len(b)) * (1 - 0.8) + 1e-9) for a, b in pairs]
+    assert len(got) == len(pairs) and 200 < sum(alike) < 800
+    assert not any(got[i] for i in range(len(pairs)) if alike[i])
+    assert sum(got.values()) > 50
+
+
 def test_fuzzy_lines_edges(spark):
     """Null and repeated ids, repeated rows, clashing columns, hot buckets."""
     base = "one common line of ten words that stands in rows"
