@@ -333,6 +333,21 @@ def test_judge_is_edit_distance(spark):
     assert got == want and 100 < sum(want.values()) < 600
 
 
+def test_judge_has_no_limit_of_work(spark):
+    """Lines of 24,000 characters with edits all over them are judged by all of these: 4800 are alike, 4801 are not."""
+    r = random.Random(23)
+    a = [r.choice("abcdefghij") for _ in range(24_000)]
+    rows = []
+    for i, edits in enumerate((4500, 4800, 4801)):
+        b = list(a)
+        for at in r.sample(range(len(a)), edits):
+            b[at] = "#"  # not in the other line, so that each is an edit
+        rows.append((i, "".join(b)))
+    texts = spark.createDataFrame([(9, "".join(a)), *rows], "h long, line string")
+    pairs = spark.createDataFrame([(9, i) for i, _ in rows], "a long, b long")
+    assert {x["b"]: x["fine"] for x in fuzzy_lines.judge(pairs, texts, 0.8).collect()} == {0: True, 1: True, 2: False}
+
+
 def test_fuzzy_lines_recall(spark):
     """Nine in ten of all alike pairs of a given table are in one group."""
     path = "/root/testdata/sf0.001/documents.parquet"
