@@ -435,6 +435,57 @@ def test_pieces_prove_no_alike_lines_unlike(spark):
     assert sum(got.values()) > 50
 
 
+def test_tiles_prove_no_alike_lines_unlike(spark, monkeypatch):
+    """Around the limit, in several scripts, with common pieces and letters moved: what tiles prove unlike is unlike, and most unlike lines are proven."""
+    monkeypatch.setattr(fuzzy_lines, "EACH", 1)
+    monkeypatch.setattr(fuzzy_lines, "COMMON", 200)
+    r = random.Random(33)
+    syllables = ["the ", "and ", "ing ", *("".join(r.choice("abcdefghiklmnoprstu ") for _ in range(3)) for _ in range(80))]
+    sources = [syllables, ["ابت", "ثج ", "حخد", "ذرز", "سشص"], [chr(0x4E00 + i) for i in range(400)], ["a😀", "b😁", "é\u0161", "\u0261 "], ["a"]]
+    pairs = []
+    for _ in range(700):
+        source = r.choice(sources[:1] * 6 + sources)
+        a = "".join(r.choice(source) for _ in range(r.choice([1, 2, 7, 20, 80, 200, 200])))
+        b = list(a)
+        at = r.randrange(len(a))
+        for _ in range(int(len(a) * r.choice([0, 0.05, 0.1, 0.18, 0.2, 0.22, 0.3])) + r.randint(0, 1)):
+            at = r.randrange(len(b) + 1) if r.random() < 0.5 else min(at, len(b))  # scattered, or many at one place
+            b[at : at + r.randint(0, 1)] = r.choice([[], list(r.choice(source))[:1]])
+        pairs.append((a, "".join(b) or "-"))
+    for _ in range(100):
+        pairs.append(tuple("".join(r.choice(syllables) for _ in range(120)) for _ in "ab"))
+    pairs = [(a, b) for a, b in pairs if min(len(a), len(b)) >= 0.8 * max(len(a), len(b))]
+    rows = [(2 * i + j, x, len(x)) for i, p in enumerate(pairs) for j, x in enumerate(p)]
+    tables = fuzzy_lines.piece_tables(spark.createDataFrame(rows, "h long, line string, size int").select("h", "line"))
+    sizes = spark.createDataFrame([(h, n) for h, _, n in rows], "h long, size int")
+    full = tables.join(sizes, "h")
+    left = full.select(F.col("h").alias("a"), F.col("size").alias("sa"), "tiles")
+    right = full.select(F.col("h").alias("b"), F.col("size").alias("sb"), "held")
+    most = fuzzy_lines._most(F.col("sa"), F.col("sb"), 0.8)
+    left_over = {(x["a"], x["b"]) for turn in (0, 1) for x in fuzzy_lines.unproven(left.join(right, (F.col("a").bitwiseXOR(F.lit(1)) == F.col("b")) & (F.col("a") % 2 == turn)).withColumn("most", most)).collect()}
+    alike = [distance(a, b) <= math.floor(max(len(a), len(b)) * (1 - 0.8) + 1e-9) for a, b in pairs]
+    assert 200 < sum(alike) < len(pairs) - 100
+    assert all({(2 * i, 2 * i + 1), (2 * i + 1, 2 * i)} <= left_over for i in range(len(pairs)) if alike[i])
+    assert sum((2 * i, 2 * i + 1) not in left_over for i in range(len(pairs) - 100, len(pairs))) > 80
+
+
+def test_pieces_are_looked_up_for_few_pairs_of_unlike_lines(spark, monkeypatch):
+    """Of a bucket of unlike lines, tiles leave few for the filters of all pieces."""
+    r = random.Random(31)
+    syllables = ["".join(r.choice("abcdefghijklmnoprstu") for _ in range(r.randint(2, 4))) for _ in range(60)]
+    lines = [" ".join("".join(r.choice(syllables) for _ in range(r.randint(1, 4))) for _ in range(40)) for _ in range(60)]
+    monkeypatch.setattr(fuzzy_lines, "block_keys", lambda lines: lines.select("h", F.length("line").alias("size"), F.lit(1).cast("long").alias("key")))
+    seen, filters = [], fuzzy_lines.piece_filters
+
+    def counted(texts):
+        seen.append(texts.count())
+        return filters(texts)
+
+    monkeypatch.setattr(fuzzy_lines, "piece_filters", counted)
+    got = fuzzy_lines.fuzzy_line_groups(frame(spark, lines)).collect()
+    assert len({x["group_id"] for x in got}) == 60 and sum(seen) < 20
+
+
 def test_fuzzy_lines_edges(spark):
     """Null and repeated ids, repeated rows, clashing columns, hot buckets."""
     base = "one common line of ten words that stands in rows"
